@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.columns import is_true
-from lodestrata.operators.skew import HotKeys, hot_keys, piece_of
+from lodestrata.operators.skew import HotKeys, cut_points, hot_keys, piece_of
 
 START, END, CURRENT = "__START_AT", "__END_AT", "__CURRENT"
 
@@ -143,16 +143,18 @@ def runs(events: DataFrame, rules: ChangeRules, hot: HotKeys | None = HotKeys())
 
     Adds ``_start`` and ``_end`` (start of the next run), ``_last`` (sequence of
     the last event) and ``_deleted``. Ordinary keys need one shuffle and one
-    sort. Hot keys are cut along the sequence: runs are found per piece, and
-    only the first and last run of each piece are compared across pieces.
+    sort. A first pass over the keys looks for hot ones. Those are cut along the
+    sequence: runs are found per piece, and only the first and last run of each
+    piece are compared across pieces.
     """
     events = _ordered(events, rules).withColumn("_deleted", rules.is_delete())
-    if hot is None:
-        return _finished(_event_runs(events, rules, list(rules.keys)))
-
     keys = list(rules.keys)
-    cuts = hot_keys(events, keys, rules.sequence, hot)
-    ordinary = events.join(F.broadcast(cuts.select(*keys)), keys, "left_anti")
+    large_keys = hot_keys(events, keys, hot) if hot else None
+    if large_keys is None or large_keys.isEmpty():
+        return _finished(_event_runs(events, rules, keys))
+
+    cuts = cut_points(events, large_keys, keys, rules.sequence, hot)
+    ordinary = events.join(F.broadcast(large_keys), keys, "left_anti")
     large = events.join(F.broadcast(cuts), keys).withColumn(
         "_piece", piece_of(F.col(rules.sequence), F.col("_cuts"), hot.pieces)).drop("_cuts")
     pieces = _event_runs(large, rules, [*keys, "_piece"])
@@ -169,19 +171,20 @@ def runs(events: DataFrame, rules: ChangeRules, hot: HotKeys | None = HotKeys())
 def _event_runs(events: DataFrame, rules: ChangeRules, by: list[str]) -> DataFrame:
     order = [F.col(c) for c in rules.order()]
     ordered = Window.partitionBy(*by).orderBy(*order)
+    carried = "_last" in events.columns  # a stored run that goes on as one event
     # Of events with one sequence number only the last in tie-break order stays.
     following = F.lead(rules.sequence).over(ordered)
     single = events.withColumn("_following", following).filter(
         F.col("_following").isNull() | (F.col("_following") > F.col(rules.sequence))
     ).drop("_following")
     before = F.lag(F.struct(*_compared(rules))).over(ordered)
-    marked = (
-        single.withColumn("_before", before)
-        .withColumn("_opens", ~F.col("_before").eqNullSafe(F.struct(*_compared(rules))))
-        .withColumn("_start", F.col(rules.sequence))
-        .withColumn("_last", F.col(rules.sequence))
-    )
-    return _last_of_run(marked, ordered).drop("_before")
+    marked = single.select(
+        "*",
+        (~before.eqNullSafe(F.struct(*_compared(rules)))).alias("_opens"),
+        F.col(rules.sequence).alias("_start"),
+        (F.coalesce("_last", rules.sequence) if carried else F.col(rules.sequence)).alias("_to"),
+    ).drop("_last").withColumnRenamed("_to", "_last")
+    return _last_of_run(marked, ordered)
 
 
 def _joined_edges(edges: DataFrame, rules: ChangeRules) -> DataFrame:
@@ -205,10 +208,12 @@ def _last_of_run(marked: DataFrame, ordered) -> DataFrame:
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opened = F.max(F.when(F.col("_opens"), F.col("_start"))).over(so_far)
     return (
-        marked.withColumn("_end", F.lead("_start").over(ordered))
-        .withColumn("_next_opens", F.lead("_opens").over(ordered))
-        .withColumn("_opened", opened)
-        .withColumn("_first", F.col("_opened") == F.min("_start").over(so_far))
+        marked.withColumns({
+            "_end": F.lead("_start").over(ordered),
+            "_next_opens": F.lead("_opens").over(ordered),
+            "_opened": opened,
+            "_first": opened == F.min("_start").over(so_far),
+        })
         .filter(F.coalesce("_next_opens", F.lit(True)))
         .withColumn("_start", F.col("_opened"))
         .drop("_opened", "_next_opens", "_opens")

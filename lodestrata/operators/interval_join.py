@@ -40,7 +40,8 @@ def interval_join(
     each right row is shuffled once, which suits keys that are known to be small.
     """
     after = F.col(right_time) >= F.col(left_time)
-    before = F.col(right_time) <= F.col(left_time) + F.make_interval(secs=F.lit(within_seconds))
+    before = F.col(right_time) <= F.col(left_time) + F.expr(
+        f"INTERVAL '{within_seconds}' SECOND")
     condition: Column = (F.col(left_key) == F.col(right_key)) & after & before
     if not sliced:
         return left.join(right, condition, how)

@@ -28,23 +28,24 @@ class HotKeys:
             raise ValueError("pieces must be a power of two")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: str, rule: HotKeys) -> DataFrame:
-    """The hot keys with the cut points of ``order`` in ``_cuts``.
-
-    The count reads the key columns only and combines on the map side. Cut
-    points are sketched for hot keys alone; without any, the second pass is
-    dropped at run time because its broadcast side is empty.
-    """
+def hot_keys(df: DataFrame, keys: Sequence[str], rule: HotKeys) -> DataFrame:
+    """The hot keys. Only the key columns are read, and counts combine on the map side."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    hot = counts.filter(
-        (F.col("_rows") > rule.min_rows) & (F.col("_rows") > total * F.lit(rule.share)))
-    shares = [i / rule.pieces for i in range(1, rule.pieces)]
+    return counts.filter(
+        (F.col("_rows") > rule.min_rows) & (F.col("_rows") > total * F.lit(rule.share))
+    ).select(*keys)
+
+
+def cut_points(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str,
+               rule: HotKeys) -> DataFrame:
+    """Each hot key with the values of ``order`` that cut it evenly, in ``_cuts``."""
+    shares = ", ".join(f"{i / rule.pieces}D" for i in range(1, rule.pieces))
     return (
         df.select(*keys, order)
-        .join(F.broadcast(hot.select(*keys)), list(keys))
+        .join(F.broadcast(hot), list(keys))
         .groupBy(*keys)
-        .agg(F.percentile_approx(order, shares, 10_000).alias("_cuts"))
+        .agg(F.expr(f"percentile_approx({order}, array({shares}), 10000)").alias("_cuts"))
     )
 
 

@@ -28,6 +28,7 @@ def local_session(cpus: str = "8", memory: str = "8g", **overrides: str) -> Spar
         .appName("lodestrata")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in {**SETTINGS, **overrides}.items():

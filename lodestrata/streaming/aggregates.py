@@ -1,0 +1,37 @@
+"""Tables of running aggregates."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from lodestrata.sources.tables import AVAILABLE_NOW
+from lodestrata.streaming.keyed_table import KeyedTable
+
+
+def maintain_running(totals: DataFrame, table: KeyedTable, checkpoint: str,
+                     trigger: Mapping[str, object] = AVAILABLE_NOW) -> StreamingQuery:
+    """Keep the newest row of each group of an unbounded streaming aggregation.
+
+    Update mode sends only the groups a micro-batch changed, and only their
+    folders are rewritten.
+    """
+
+    def newest(rows: DataFrame) -> DataFrame:
+        rest = [c for c in rows.columns if c not in table.keys]
+        return rows.groupBy(*table.keys).agg(
+            F.max_by(F.struct(*rest), "_batch").alias("_row")).select(*table.keys, "_row.*")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                table.merge(batch.withColumn("_batch", F.lit(batch_id)), batch_id, newest)
+        finally:
+            batch.unpersist()
+
+    return totals.writeStream.outputMode("update").foreachBatch(apply).option(
+        "checkpointLocation", checkpoint).trigger(**trigger).start()
