@@ -56,27 +56,43 @@ class HistoryTable:
     def update(self, batch: DataFrame, batch_id: int) -> None:
         rules, spark = self.rules, batch.sparkSession
         events = batch.filter(F.col(rules.sequence).isNotNull())
-        earliest = events.agg(F.min(rules.sequence)).first()[0]
+        earliest, parts = events.agg(F.min(rules.sequence), self.log.touched_parts()).first()
         if earliest is None:
             return
         single = replace(rules, keys=[*rules.keys, rules.sequence])
-        self.log.merge(events, batch_id, lambda rows: cf.last_events(rows, single))
-        self.runs.replace(spark, batch_id, lambda: self._content(events, earliest))
+        self.log.merge(events, batch_id, lambda rows: cf.last_events(rows, single), parts)
+        held: list[DataFrame] = []
+        try:
+            self.runs.replace(spark, batch_id,
+                              lambda: self._content(events, earliest, parts, held))
+        finally:
+            for df in held:
+                df.unpersist()
+
+    def _content(self, events: DataFrame, earliest, parts: list[int],
+                 held: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+        """All rows of the folders that change, and those folders.
+
+        What is held is as large as the batch and the runs it reopens.
+        """
+
+        def hold(df: DataFrame) -> DataFrame:
+            held.append(df.persist())
+            return df
 
-    def _content(self, events: DataFrame, earliest) -> tuple[DataFrame, DataFrame]:
         rules, spark = self.rules, events.sparkSession
         keys = list(rules.keys)
-        parts = self.runs.touched_parts(events)
         near = self.runs.read(spark, parts, earliest)
         if near is None:
             rows = self.runs.placed(cf.runs(events, rules, self.hot))
             return rows, rows.select(PART, RANGE)
 
-        touched = events.groupBy(*keys).agg(F.min(rules.sequence).alias("_from"))
         opened = near.filter(F.col(RANGE) == OPEN)
         known = opened.select(*keys, F.col("_last").alias("_known_to"))
-        touched = touched.join(known, keys, "left").withColumn(
-            "_late", F.coalesce(F.col("_known_to") >= F.col("_from"), F.lit(False)))
+        touched = hold(
+            events.groupBy(*keys).agg(F.min(rules.sequence).alias("_from"))
+            .join(known, keys, "left")
+            .withColumn("_late", F.coalesce(F.col("_known_to") >= F.col("_from"), F.lit(False))))
 
         in_order = touched.filter(~F.col("_late")).select(*keys)
         # The open run goes on as one event at its start.
@@ -84,28 +100,28 @@ class HistoryTable:
             rules.sequence, F.col("_start")).drop("_start", "_end", "_deleted", PART, RANGE)
         following = events.join(in_order, keys, "left_semi")
         to_run = base.unionByName(following, allowMissingColumns=True)
-        decided = touched.select(*keys, "_late", F.lit(None).cast(
-            events.schema[rules.sequence].dataType).alias("_low"))
 
+        # Late keys go back to the start of the run that holds their first event.
         late = touched.filter("_late").select(*keys, "_from")
-        if not late.isEmpty():
-            holding = near.join(late, keys).filter(
-                (F.col("_start") <= F.col("_from"))
-                & (F.col("_end").isNull() | (F.col("_end") > F.col("_from")))
-            ).select(*keys, F.col("_start").alias("_held_from"))
-            low = late.join(holding, keys, "left").select(
-                *keys, F.coalesce("_held_from", "_from").alias("_low"))
-            lowest = low.agg(F.min("_low")).first()[0]
+        holding = near.join(late, keys).filter(
+            (F.col("_start") <= F.col("_from"))
+            & (F.col("_end").isNull() | (F.col("_end") > F.col("_from")))
+        ).select(*keys, F.col("_start").alias("_held_from"))
+        low = hold(late.join(holding, keys, "left").select(
+            *keys, F.coalesce("_held_from", "_from").alias("_low")))
+        lowest = low.agg(F.min("_low")).first()[0]
+        if lowest is not None:
             logged = self.log.read(spark, parts, lowest).drop(PART, RANGE)
             again = logged.join(low, keys).filter(
                 F.col(rules.sequence) >= F.col("_low")).drop("_low")
             to_run = to_run.unionByName(again, allowMissingColumns=True)
-            decided = decided.drop("_low").join(low, keys, "left")
 
-        new = self.runs.placed(cf.runs(to_run, rules, self.hot))
+        new = hold(self.runs.placed(cf.runs(hold(to_run), rules, self.hot)))
+        # Of a late key all runs from there on are old, of others the open one.
+        decided = touched.select(*keys, "_late").join(low, keys, "left")
         marked = near.join(decided, keys, "left").withColumn("_old", F.coalesce(
-            F.when(F.col("_late"), F.col("_start") >= F.col("_low")).otherwise(
-                F.when(F.col("_late").isNotNull(), F.col(RANGE) == OPEN)), F.lit(False)))
+            F.when(F.col("_late"), F.col("_start") >= F.col("_low"))
+            .when(~F.col("_late"), F.col(RANGE) == OPEN), F.lit(False)))
         folders = marked.filter("_old").select(PART, RANGE).unionByName(
             new.select(PART, RANGE)).distinct()
         # As many folders as the table has at most.

@@ -66,9 +66,9 @@ class KeyedTable:
         found = self.read(spark)
         return None if found is None else found.drop(PART, RANGE)
 
-    def touched_parts(self, changes: DataFrame) -> list[int]:
-        """At most ``parts`` numbers, whatever the size of the batch."""
-        return [row[0] for row in changes.select(self.part_of()).distinct().collect()]
+    def touched_parts(self) -> Column:
+        """Aggregate of a batch: at most ``parts`` numbers, whatever its size."""
+        return F.collect_set(self.part_of())
 
     def replace(self, spark: SparkSession, batch_id: int,
                 content: Callable[[], tuple[DataFrame, DataFrame]]) -> None:
@@ -91,7 +91,8 @@ class KeyedTable:
                 f"{self.path}/rows")
 
     def merge(self, changes: DataFrame, batch_id: int,
-              combine: Callable[[DataFrame], DataFrame]) -> None:
+              combine: Callable[[DataFrame], DataFrame],
+              parts: Sequence[int] | None = None) -> None:
         """Union the batch with the rows of its folders and reduce them by ``combine``.
 
         ``combine`` must keep every key (and range) it is given.
@@ -101,7 +102,8 @@ class KeyedTable:
 
         def content() -> tuple[DataFrame, DataFrame]:
             folders = changes.select(PART, RANGE).distinct()
-            kept = self.read(spark, self.touched_parts(changes))
+            touched = parts or changes.agg(self.touched_parts()).first()[0]
+            kept = self.read(spark, touched)
             rows = changes
             if kept is not None:
                 # As many folders as the table has at most.
