@@ -19,6 +19,7 @@ from lodestrata.streaming.change_tables import CurrentTable, HistoryTable, maint
 from lodestrata.streaming.keyed_table import KeyedTable
 
 FLUSH_USER = -1
+_BATCH = frozenset(QUERIES)
 
 
 class EventStreams:
@@ -233,6 +234,9 @@ def quarantine_bad_records(spark, sf):
         {c: F.col(c).cast("double") for c in ("event_id", "user_id")})
 
 
+STREAMED = frozenset(QUERIES) - _BATCH
+
+
 def _outer(columns: str, text: str) -> str:
     return f"SELECT {columns} FROM ({text})"
 
@@ -265,5 +269,3 @@ ORACLE["quarantine_bad_records"] = """
            CASE WHEN event_type = 'error'
                 THEN concat('{"event_id":', event_id, ',"user_id":', user_id) END AS bad_line
     FROM events"""
-
-__all__ = ["ORACLE", "QUERIES"]

@@ -2,11 +2,12 @@
 
 Each text is plain SQL that Spark and DuckDB both read. Names in braces stand
 for tables; :func:`view` fills them with DataFrames, :func:`sql` with the names
-themselves.
+themselves. Tables and views are looked up once per session, as from a catalog.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,6 +102,7 @@ def _tables(text: str) -> set[str]:
     return {name for _, name, _, _ in Formatter().parse(text) if name}
 
 
+@lru_cache(maxsize=256)
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = VIEWS[name]
     return spark.sql(text, **{t: table(spark, sf_dir, t) for t in _tables(text)})
@@ -111,5 +113,6 @@ def sql(name: str) -> str:
     return text.format(**{t: t for t in _tables(text)})
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

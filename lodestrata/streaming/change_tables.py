@@ -124,9 +124,8 @@ class HistoryTable:
             .when(~F.col("_late"), F.col(RANGE) == OPEN), F.lit(False)))
         folders = marked.filter("_old").select(PART, RANGE).unionByName(
             new.select(PART, RANGE)).distinct()
-        # As many folders as the table has at most.
         kept = marked.filter(~F.col("_old")).join(
-            F.broadcast(folders), [PART, RANGE], "left_semi").select(*near.columns)
+            folders, [PART, RANGE], "left_semi").select(*near.columns)
         return kept.unionByName(new.select(*near.columns)), folders
 
 

@@ -106,8 +106,7 @@ class KeyedTable:
             kept = self.read(spark, touched)
             rows = changes
             if kept is not None:
-                # As many folders as the table has at most.
-                kept = kept.join(F.broadcast(folders), [PART, RANGE], "left_semi")
+                kept = kept.join(folders, [PART, RANGE], "left_semi")
                 rows = kept.unionByName(changes, allowMissingColumns=True)
             return self.placed(combine(rows.drop(PART, RANGE))), folders
 

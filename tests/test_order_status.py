@@ -131,3 +131,12 @@ def test_kpis_count_status_events(spark, rows):
     assert rows(daily_kpis(pairs), "status_name", "total_orders", "revenue", "avg_ticket") == \
         [("New", 3, 40.0, 40.0 / 3)]
     assert rows(daily_kpis(pairs, as_coded=True), "avg_ticket") == [(40.0,)]
+
+
+def test_deliveries_within_a_bound(spark, rows):
+    orders = spark.createDataFrame([order("a"), order("b")], ORDER)
+    statuses = spark.createDataFrame([status("a", 60), status("a", 7300), status("b", 7200)],
+                                     STATUS)
+    got = rows(deliveries(orders, statuses, amount_type="decimal(12,2)", within_seconds=7200),
+               "order_id", "total_amount")
+    assert got == [("a", Decimal("30.00")), ("b", Decimal("30.00"))]
