@@ -24,8 +24,8 @@ def steady(value: Column, digits: int) -> Column:
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """``part`` of ``whole`` in percent, as a double."""
-    return F.round(part.cast("double") * 100.0 / whole, digits)
+    """``part`` of ``whole`` in percent, as a double; NULL when there is no whole."""
+    return F.round(F.try_divide(part.cast("double") * 100.0, whole), digits)
 
 
 def distinct_count(column: Column, approximate: bool = False) -> Column:

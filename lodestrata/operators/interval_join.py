@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ def interval_join(
     within_seconds: int,
     how: str = "left",
     sliced: bool = True,
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Rows of ``right`` at most ``within_seconds`` after a row of ``left`` with the same key.
 
@@ -32,12 +35,13 @@ def interval_join(
     bound also tells Spark when state may go. Column names of the two sides must
     differ.
 
-    With ``sliced`` the join key also carries a slice of time as long as the
-    bound. A match lies in the slice of the left row or in the next one, so each
-    right row is offered to two slices and each left row stays single, which
+    With ``sliced`` the join key also carries a slice of time, by default as long
+    as the bound. A match lies in the slice of the left row or in the next one, so
+    each right row is offered to two slices and each left row stays single, which
     keeps outer rows right. A key that holds a large share of all rows is thereby
-    spread over its slices, and only neighbours in time are compared. Without it
-    each right row is shuffled once, which suits keys that are known to be small.
+    spread over its slices, and only neighbours in time are compared. Finer slices
+    spread it more and copy right rows more often. Without slices each right row
+    is shuffled once, which suits keys that are known to be small.
     """
     after = F.col(right_time) >= F.col(left_time)
     before = F.col(right_time) <= F.col(left_time) + F.expr(
@@ -46,10 +50,12 @@ def interval_join(
     if not sliced:
         return left.join(right, condition, how)
 
-    own = _slice(left_time, within_seconds)
-    left = left.withColumn("_left_slice", own)
-    reached = _slice(right_time, within_seconds)
-    right = right.withColumn("_right_slice", F.explode(F.array(reached, reached - 1)))
+    width = slice_seconds or within_seconds
+    back = math.ceil(within_seconds / width)
+    left = left.withColumn("_left_slice", _slice(left_time, width))
+    latest = _slice(right_time, width)
+    right = right.withColumn(
+        "_right_slice", F.explode(F.array(*[latest - i for i in range(back + 1)])))
     condition = condition & (F.col("_left_slice") == F.col("_right_slice"))
     return left.join(right, condition, how).drop("_left_slice", "_right_slice")
 

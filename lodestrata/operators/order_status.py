@@ -53,6 +53,7 @@ def order_status(
     delivered: str = DELIVERED,
     processed_at: Column | None = None,
     sliced: bool = True,
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """One row per order and status within the bound; orders without one stay.
 
@@ -76,7 +77,7 @@ def order_status(
         left, right,
         left_key="order_id", right_key="order_identifier",
         left_time="order_event_time", right_time="status_event_time",
-        within_seconds=within_seconds, sliced=sliced,
+        within_seconds=within_seconds, sliced=sliced, slice_seconds=slice_seconds,
     ).drop("order_identifier")
     return classify(joined, delay_minutes, delivered, processed_at)
 

@@ -17,7 +17,8 @@ class Layers:
     """Tables of one job under a shared folder.
 
     With the available-now trigger every step ends when its input is used up, so
-    steps run one after the other; a continuous trigger leaves streams running.
+    steps run one after the other. A continuous trigger leaves streams running;
+    run a job once with available-now before, so that its tables exist.
     """
 
     spark: SparkSession

@@ -84,7 +84,7 @@ class HistoryTable:
         keys = list(rules.keys)
         near = self.runs.read(spark, parts, earliest)
         if near is None:
-            rows = self.runs.placed(cf.runs(events, rules, self.hot))
+            rows = hold(self.runs.placed(cf.runs(events, rules, self.hot)))
             return rows, rows.select(PART, RANGE)
 
         opened = near.filter(F.col(RANGE) == OPEN)

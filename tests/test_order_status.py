@@ -45,10 +45,12 @@ def test_sliced_join_equals_plain_join(spark, rows):
         F.concat(F.lit("k"), F.col("id") % 4).alias("rk"),
         F.timestamp_seconds(F.col("id") * 211 + 60).alias("rt"), F.col("id").alias("rid"))
     both = [rows(interval_join(left, right, left_key="lk", right_key="rk", left_time="lt",
-                               right_time="rt", within_seconds=900, how=how, sliced=s))
-            for how in ("left", "inner") for s in (True, False)]
-    assert both[0] == both[1] and both[2] == both[3]
-    assert len(both[0]) > len(both[2])
+                               right_time="rt", within_seconds=900, how=how, **options))
+            for how in ("left", "inner")
+            for options in ({"sliced": False}, {}, {"slice_seconds": 400}, {"slice_seconds": 2000})]
+    assert all(found == both[0] for found in both[:4])
+    assert all(found == both[4] for found in both[4:])
+    assert len(both[0]) > len(both[4])
 
 
 def test_delay_flag_severity_and_missing_status(spark, rows):

@@ -113,3 +113,15 @@ def test_observed_counts(spark):
     rules = [ex.Expectation("small", "id < 3"), ex.Expectation("even", "id % 2 = 0", "warn")]
     assert ex.enforce(spark.range(5), rules, seen).count() == 3
     assert seen.get == {"rows": 5, "small": 2, "even": 2}
+
+
+def test_observed_counts_of_a_stream(spark, tmp_path):
+    from lodestrata.sources.tables import append_stream, refresh, stream_table
+    refresh(spark.range(5), f"{tmp_path}/in")
+    checked = ex.enforce(stream_table(spark, f"{tmp_path}/in"),
+                         [ex.Expectation("small", "id < 3")], "checked")
+    run = append_stream(checked, f"{tmp_path}/out", f"{tmp_path}/cp")
+    run.awaitTermination()
+    seen = [p["observedMetrics"]["checked"].asDict() for p in run.recentProgress
+            if p["numInputRows"]]
+    assert seen == [{"rows": 5, "small": 2}]
