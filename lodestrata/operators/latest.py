@@ -25,6 +25,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     )
 
 
+def newest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row of each key with the highest order, NULLs lowest.
+
+    A maximum, so results of parts can be combined in any order: a table of
+    latest rows can be kept from a stream this way.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(
+        F.max_by(F.struct(*rest), F.struct(*order)).alias("_newest")
+    ).select(*keys, "_newest.*")
+
+
 def newest_first(column: str, as_type: str | None = "timestamp") -> Column:
     """Descending order with NULLs last, on the cast value."""
     value = F.col(column) if as_type is None else F.col(column).cast(as_type)

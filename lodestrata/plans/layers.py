@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.sources.tables import (
-    AVAILABLE_NOW, append_stream, finish, read_table, refresh, stream_table,
+    AVAILABLE_NOW, Dataset, append_stream, finish, read_table, refresh, stream_table,
 )
 
 
@@ -46,6 +46,12 @@ class Layers:
     def refresh(self, name: str, df: DataFrame, cluster_by: Sequence[str] = ()) -> None:
         refresh(df, self.path(name), cluster_by=cluster_by)
 
+    def register(self, database: str, datasets: Sequence[Dataset]) -> None:
+        """Make tables of the job known to the catalog, with their descriptions."""
+        for dataset in datasets:
+            replace(dataset, name=f"{database}.{dataset.name}").register(
+                self.spark, self.path(dataset.name))
+
     def read(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name))
 

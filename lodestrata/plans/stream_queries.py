@@ -14,7 +14,7 @@ from lodestrata.plans.testviews import VIEWS, table, view
 from lodestrata.session import work_dir
 from lodestrata.sources import alerts, copy_into as loading, evolution, json_files, quarantine
 from lodestrata.sources.tables import append_stream, finish, read_table, stream_table
-from lodestrata.streaming.aggregates import maintain_running
+from lodestrata.streaming.aggregates import maintain_latest, maintain_running
 from lodestrata.streaming.change_tables import CurrentTable, HistoryTable, maintain
 from lodestrata.streaming.keyed_table import KeyedTable
 
@@ -122,6 +122,18 @@ def delivery_buckets_stream(spark, sf):
                     performance.delivery_time_distribution)
 
 
+@query
+def order_latest_status_stream(spark, sf):
+    folder = work_dir(spark, "latest-status")
+    source = stream_table(spark, _silver(spark, sf, folder))
+    latest = KeyedTable(f"{folder}/latest", ["order_id"], parts=8)
+    finish(maintain_latest(_real(source), latest, ["status_event_time", "order_event_time"],
+                           f"{folder}/latest-checkpoint"))
+    return latest.rows(spark).select(
+        "order_id", "current_status", "status_event_time",
+        F.round("delivery_time_minutes", 4).alias("delivery_time_minutes"), "event_severity")
+
+
 @query
 def alert_messages(spark, sf):
     folder = work_dir(spark, "alerts")
@@ -247,6 +259,7 @@ ORACLE["restaurant_perf_10min_stream"] = _outer(
 ORACLE["driver_perf_stream"] = _outer(
     "* EXCLUDE (total_deliveries, restaurants_served, customers_served)", ORACLE["driver_perf"])
 ORACLE["delivery_buckets_stream"] = ORACLE["delivery_buckets"]
+ORACLE["order_latest_status_stream"] = ORACLE["order_latest_status"]
 ORACLE["alert_messages"] = _outer(
     "CAST(order_id AS VARCHAR) AS key, current_status, total_amount", ORACLE["delayed_orders"])
 ORACLE["scd1_stream"] = ORACLE["scd1_current"]

@@ -1,13 +1,14 @@
-"""Tables of running aggregates."""
+"""Tables of running aggregates and of latest rows."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lodestrata.operators.latest import newest_by
 from lodestrata.sources.tables import AVAILABLE_NOW
 from lodestrata.streaming.keyed_table import KeyedTable
 
@@ -19,19 +20,29 @@ def maintain_running(totals: DataFrame, table: KeyedTable, checkpoint: str,
     Update mode sends only the groups a micro-batch changed, and only their
     folders are rewritten.
     """
+    return _maintain(totals.writeStream.outputMode("update"), table, ["_batch"], checkpoint,
+                     trigger)
 
+
+def maintain_latest(rows: DataFrame, table: KeyedTable, order: Sequence[str], checkpoint: str,
+                    trigger: Mapping[str, object] = AVAILABLE_NOW) -> StreamingQuery:
+    """Keep the row of each key with the highest order. The table itself is the state."""
+    return _maintain(rows.writeStream, table, order, checkpoint, trigger)
+
+
+def _maintain(writer, table: KeyedTable, order: Sequence[str], checkpoint: str,
+              trigger: Mapping[str, object]) -> StreamingQuery:
     def newest(rows: DataFrame) -> DataFrame:
-        rest = [c for c in rows.columns if c not in table.keys]
-        return rows.groupBy(*table.keys).agg(
-            F.max_by(F.struct(*rest), "_batch").alias("_row")).select(*table.keys, "_row.*")
+        return newest_by(rows, table.keys, order)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                table.merge(batch.withColumn("_batch", F.lit(batch_id)), batch_id, newest)
-        finally:
-            batch.unpersist()
-
-    return totals.writeStream.outputMode("update").foreachBatch(apply).option(
-        "checkpointLocation", checkpoint).trigger(**trigger).start()
+        # Written first, so that the stream's own operators run once.
+        arrived = f"{table.path}/arrived"
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(arrived)
+        changes = batch.sparkSession.read.schema(
+            batch.schema.add("_batch", "long")).parquet(arrived)
+        if not changes.isEmpty():
+            table.merge(newest(changes), batch_id, newest)
+
+    return writer.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(
+        **trigger).start()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from lodestrata.plans import deliveries, realtime, restaurants, users_batch, users_stream
+from lodestrata.plans import datasets, deliveries, realtime, restaurants, users_batch, users_stream
 from lodestrata.streaming.change_tables import CurrentTable
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -85,6 +85,14 @@ def test_restaurants_job(spark, rows, tmp_path):
     assert rows(layers.read("gold_city_summary"), "total_ratings") == [(3,)]
     assert layers.read("gold_cuisine_summary").isEmpty()
 
+    spark.sql("CREATE DATABASE IF NOT EXISTS lodestrata_test")
+    try:
+        layers.register("lodestrata_test", datasets.RESTAURANTS)
+        assert spark.table("lodestrata_test.fact_inventory").count() == 1
+        assert len(spark.catalog.listTables("lodestrata_test")) == len(datasets.RESTAURANTS)
+    finally:
+        spark.sql("DROP DATABASE lodestrata_test CASCADE")
+
 
 def test_users_batch_job(spark, rows, tmp_path):
     def mongo(cpf, city):
