@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.columns import is_true
-from lodestrata.operators.skew import HotKeys, cut_points, hot_keys, piece_of
+from lodestrata.operators.skew import HotKeys, cut_points, piece_of
 
 START, END, CURRENT = "__START_AT", "__END_AT", "__CURRENT"
 
@@ -35,8 +35,10 @@ class ChangeRules:
     control: Sequence[str] = ()
     tie_break: str | None = None
 
-    def order(self) -> list[str]:
-        return [self.sequence] + ([self.tie_break] if self.tie_break else [])
+    def order(self, columns: Sequence[str] = ()) -> list[str]:
+        """Sequence, tie-break, then the given columns, so that equal events are the only ties."""
+        first = [self.sequence] + ([self.tie_break] if self.tie_break else [])
+        return first + [c for c in columns if c not in first and c not in self.keys]
 
     def is_delete(self) -> Column:
         return is_true(F.expr(self.deletes))
@@ -80,7 +82,7 @@ def last_events(events: DataFrame, rules: ChangeRules) -> DataFrame:
     """
     events = _ordered(events, rules)
     rest = [c for c in events.columns if c not in rules.keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*rules.order()))
+    newest = F.max_by(F.struct(*rest), F.struct(*rules.order(events.columns)))
     return events.groupBy(*rules.keys).agg(newest.alias("_event")).select(
         *rules.keys, "_event.*").select(*events.columns)
 
@@ -105,7 +107,7 @@ def scd1(events: DataFrame, rules: ChangeRules, ignore_nulls: bool = False) -> D
     if not ignore_nulls:
         return current_rows(last_events(events, rules), rules)
     events = _ordered(events, rules)
-    order = F.struct(*rules.order())
+    order = F.struct(*rules.order(events.columns))
     deleted = rules.is_delete()
     values = [c for c in rules.kept(events.columns) if c not in rules.keys]
     newest = [
@@ -142,34 +144,28 @@ def runs(events: DataFrame, rules: ChangeRules, hot: HotKeys | None = HotKeys())
     """Runs of equal tracked values, one row per run with its last event.
 
     Adds ``_start`` and ``_end`` (start of the next run), ``_last`` (sequence of
-    the last event) and ``_deleted``. Ordinary keys need one shuffle and one
-    sort. A first pass over the keys looks for hot ones. Those are cut along the
-    sequence: runs are found per piece, and only the first and last run of each
-    piece are compared across pieces.
+    the last event) and ``_deleted``. Keys are cut along the sequence, large ones
+    in many pieces and most in one. Runs are found per piece with one shuffle and
+    one sort; of keys with cuts, the first and last run of each piece are then
+    compared across pieces.
     """
     events = _ordered(events, rules).withColumn("_deleted", rules.is_delete())
     keys = list(rules.keys)
-    large_keys = hot_keys(events, keys, hot) if hot else None
-    if large_keys is None or large_keys.isEmpty():
+    if hot is None:
         return _finished(_event_runs(events, rules, keys))
-
-    cuts = cut_points(events, large_keys, keys, rules.sequence, hot)
-    ordinary = events.join(F.broadcast(large_keys), keys, "left_anti")
-    large = events.join(F.broadcast(cuts), keys).withColumn(
-        "_piece", piece_of(F.col(rules.sequence), F.col("_cuts"), hot.pieces)).drop("_cuts")
-    pieces = _event_runs(large, rules, [*keys, "_piece"])
-    at_edge = F.col("_first") | F.col("_end").isNull()
-    inner = pieces.filter(~at_edge)
+    cuts = cut_points(events, keys, rules.sequence, hot)
+    placed = events.join(F.broadcast(cuts), keys, "left").withColumns({
+        "_piece": piece_of(F.col(rules.sequence), F.col("_cuts"), hot.max_cuts * 4),
+        "_is_cut": F.col("_cuts").isNotNull(),
+    }).drop("_cuts")
+    pieces = _event_runs(placed, rules, [*keys, "_piece"])
+    at_edge = F.col("_is_cut") & (F.col("_first") | F.col("_end").isNull())
     edges = _joined_edges(pieces.filter(at_edge), rules)
-    return (
-        _finished(_event_runs(ordinary, rules, keys))
-        .unionByName(_finished(inner))
-        .unionByName(_finished(edges))
-    )
+    return _finished(pieces.filter(~at_edge)).unionByName(_finished(edges))
 
 
 def _event_runs(events: DataFrame, rules: ChangeRules, by: list[str]) -> DataFrame:
-    order = [F.col(c) for c in rules.order()]
+    order = [F.col(c) for c in rules.order([c for c in events.columns if not c.startswith("_")])]
     ordered = Window.partitionBy(*by).orderBy(*order)
     carried = "_last" in events.columns  # a stored run that goes on as one event
     # Of events with one sequence number only the last in tie-break order stays.
@@ -225,7 +221,7 @@ def _compared(rules: ChangeRules) -> list[str]:
 
 
 def _finished(found: DataFrame) -> DataFrame:
-    return found.drop("_first", "_piece")
+    return found.drop("_first", "_piece", "_is_cut")
 
 
 def change_audit(events: DataFrame, rules: ChangeRules) -> DataFrame:

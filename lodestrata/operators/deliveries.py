@@ -18,9 +18,9 @@ def deliveries(orders: DataFrame, status: DataFrame, *, amount_type: str = "floa
     """
     left = orders.select(
         "order_id",
-        F.col("order_date").cast("timestamp").alias("order_date"),
+        F.col("order_date").try_cast("timestamp").alias("order_date"),
         "restaurant_key",
-        F.col("total_amount").cast(amount_type).alias("total_amount"),
+        F.col("total_amount").try_cast(amount_type).alias("total_amount"),
         *(["dt_current_timestamp"] if within_seconds else []),
     )
     right = status.select(

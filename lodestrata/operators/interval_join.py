@@ -12,7 +12,7 @@ from lodestrata.functions.columns import epoch_seconds
 
 def with_event_time(df: DataFrame, column: str, watermark: str | None = None) -> DataFrame:
     """Cast the event-time column and, for streams, declare how late it may be."""
-    df = df.withColumn(column, F.col(column).cast("timestamp"))
+    df = df.withColumn(column, F.col(column).try_cast("timestamp"))
     return df.withWatermark(column, watermark) if watermark else df
 
 

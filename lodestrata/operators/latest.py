@@ -39,5 +39,5 @@ def newest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 def newest_first(column: str, as_type: str | None = "timestamp") -> Column:
     """Descending order with NULLs last, on the cast value."""
-    value = F.col(column) if as_type is None else F.col(column).cast(as_type)
+    value = F.col(column) if as_type is None else F.col(column).try_cast(as_type)
     return value.desc_nulls_last()

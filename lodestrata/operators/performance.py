@@ -117,5 +117,6 @@ def platform_health(statuses: DataFrame) -> DataFrame:
 
 
 def leaderboard(metrics: DataFrame, by: str, k: int) -> DataFrame:
-    """The ``k`` best rows by a metric; Spark keeps only k per task."""
-    return metrics.orderBy(F.col(by).desc_nulls_last()).limit(k)
+    """The ``k`` best rows by a metric, equal ones by their other columns; Spark keeps only k per task."""
+    rest = [c for c in metrics.columns if c != by]
+    return metrics.orderBy(F.col(by).desc_nulls_last(), *rest).limit(k)

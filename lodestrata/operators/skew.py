@@ -1,4 +1,4 @@
-"""Finding keys that hold too many rows for one task, and cutting them in pieces."""
+"""Cutting the events of a key in pieces that fit a task, however many there are."""
 
 from __future__ import annotations
 
@@ -11,53 +11,42 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class HotKeys:
-    """When a key counts as hot, and into how many pieces its order is cut.
+    """How many rows a piece has.
 
-    A key is hot when it has more than ``share`` of all rows and more than
-    ``min_rows``. So there are fewer than ``1 / share`` hot keys whatever the
-    size of the table, and the table of hot keys, at most
-    ``pieces / share`` numbers, may be broadcast.
+    A key gets about one cut for every ``rows_per_piece`` of its rows, so the
+    number of its pieces follows from its size alone, and a small key mostly has
+    none. ``max_cuts`` bounds the cuts of all keys together, about: for tables with
+    more than ``max_cuts * rows_per_piece`` rows pieces get larger. The table of
+    cuts is broadcast, and this is its bound.
     """
 
-    share: float = 1 / 2000
-    min_rows: int = 1_000_000
-    pieces: int = 512
+    rows_per_piece: int = 1_000_000
+    max_cuts: int = 1_000_000
 
     def __post_init__(self) -> None:
-        if self.pieces < 2 or self.pieces & (self.pieces - 1):
-            raise ValueError("pieces must be a power of two")
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], rule: HotKeys) -> DataFrame:
-    """The hot keys. Only the key columns are read, and counts combine on the map side."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.filter(
-        (F.col("_rows") > rule.min_rows) & (F.col("_rows") > total * F.lit(rule.share))
-    ).select(*keys)
-
-
-def cut_points(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str,
-               rule: HotKeys) -> DataFrame:
-    """Each hot key with the values of ``order`` that cut it evenly, in ``_cuts``."""
-    shares = ", ".join(f"{i / rule.pieces}D" for i in range(1, rule.pieces))
-    return (
-        df.select(*keys, order)
-        .join(F.broadcast(hot), list(keys))
-        .groupBy(*keys)
-        .agg(F.expr(f"percentile_approx({order}, array({shares}), 10000)").alias("_cuts"))
-    )
+        if self.rows_per_piece < 1 or self.max_cuts < 1:
+            raise ValueError("rows_per_piece and max_cuts must be positive")
+
+
+def cut_points(df: DataFrame, keys: Sequence[str], order: str, rule: HotKeys) -> DataFrame:
+    """The values of ``order`` that cut a key, sorted in ``_cuts``; keys without any are left out.
+
+    A value cuts where a hash of key and value is a multiple of the rows of a piece,
+    so cuts lie evenly among the rows and no key has to be counted or sorted first.
+    """
+    total = df.agg(F.count(F.lit(1))).scalar()
+    rows = F.greatest(F.lit(rule.rows_per_piece).cast("long"), F.floor(total / F.lit(rule.max_cuts)))
+    chosen = F.pmod(F.xxhash64(*keys, order), rows) == 0
+    return df.filter(chosen).groupBy(*keys).agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
 
 
-def piece_of(value: Column, cuts: Column, pieces: int) -> Column:
-    """Number of cut points at or below ``value``, by halving steps."""
-    steps = []
-    step = pieces // 2
-    while step:
-        steps.append(F.lit(step))
-        step //= 2
-    return F.aggregate(
-        F.array(*steps),
+def piece_of(value: Column, cuts: Column, most: int = 1 << 30) -> Column:
+    """Number of cut points at or below ``value``, by halving steps; 0 without cuts."""
+    steps = [1 << k for k in range(most.bit_length() - 1, -1, -1)]
+    found = F.aggregate(
+        F.array(*[F.lit(step) for step in steps]),
         F.lit(0),
-        lambda low, width: low + F.when(F.get(cuts, low + width - 1) <= value, width).otherwise(0),
+        lambda low, width: low + F.when(
+            (low <= F.size(cuts) - width) & (F.get(cuts, low + width - 1) <= value), width).otherwise(0),
     )
+    return F.when(cuts.isNull(), 0).otherwise(found)

@@ -65,16 +65,16 @@ def unify_users(delivery: DataFrame, profile: DataFrame,
     for name in SHARED:
         value = shared(name)
         if value is not None:
-            columns.append((value.cast("long") if name == "user_id" else value).alias(name))
+            columns.append((value.try_cast("long") if name == "user_id" else value).alias(name))
     columns += [F.col(f"d.{name}").alias(name) for name in DELIVERY_ONLY if name in here]
     columns += [
-        (F.col(f"p.{name}").cast("date") if name == "birthday" else F.col(f"p.{name}")).alias(name)
+        (F.col(f"p.{name}").try_cast("date") if name == "birthday" else F.col(f"p.{name}")).alias(name)
         for name in PROFILE_ONLY if name in there
     ]
     # Times are cast before they are compared: as text they would sort as text.
     default = F.lit(NO_TIME).cast("timestamp")
     newest = F.greatest(*[
-        F.coalesce(F.col(f"{side}.dt_current_timestamp").cast("timestamp"), default)
+        F.coalesce(F.col(f"{side}.dt_current_timestamp").try_cast("timestamp"), default)
         for side in ("d", "p")
     ])
     columns.append(newest.alias("dt_current_timestamp"))

@@ -12,6 +12,7 @@ from lodestrata.operators import (
     change_feed as cf, cleaning, deliveries as dl, expectations, order_status as os_,
     performance, snapshots, star, summaries, users,
 )
+from lodestrata.operators.skew import HotKeys
 from lodestrata.plans.testviews import table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,7 +119,14 @@ def driver_perf(spark, sf):
 
 @query
 def driver_perf_approx(spark, sf):
-    return performance.driver_performance(statuses(spark, sf), approximate=True)
+    """Exact counts, and whether the approximate ones lie within three times their standard error."""
+    counts = ("total_deliveries", "restaurants_served", "customers_served")
+    exact = performance.driver_performance(statuses(spark, sf)).select("driver_key", *counts)
+    near = performance.driver_performance(statuses(spark, sf), approximate=True).select(
+        "driver_key", F.struct(*counts).alias("near"))
+    within = [F.abs(F.col(f"near.{c}") - F.col(c)) <= F.greatest(F.lit(1.0), 0.15 * F.col(c)) for c in counts]
+    return exact.join(near, "driver_key").select(
+        "driver_key", *counts, (within[0] & within[1] & within[2]).alias("within_error"))
 
 
 @query
@@ -384,6 +392,12 @@ def scd2_history(spark, sf):
     return end_as_double(cf.scd2(changes(spark, sf), CHANGE_RULES))
 
 
+@query
+def scd2_hot_keys(spark, sf):
+    """The same history with every few events in a piece of their own."""
+    return end_as_double(cf.scd2(changes(spark, sf), CHANGE_RULES, HotKeys(rows_per_piece=4)))
+
+
 @query
 def change_audit(spark, sf):
     events = cf.change_audit(changes(spark, sf), CHANGE_RULES)

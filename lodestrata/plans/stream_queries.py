@@ -208,33 +208,37 @@ def _event_lines(events: DataFrame, value) -> DataFrame:
         "event_id", "user_id", value.alias("value"), "event_type")).alias("value"))
 
 
+def _cut_off(event_type: str):
+    """The line, of one event type only up to its value."""
+    return F.when(F.col("value").contains(f'"event_type":"{event_type}"'),
+                  F.substring_index("value", ',"value"', 1)).otherwise(F.col("value")).alias("value")
+
+
 EVENT_FIELDS = "event_id BIGINT, user_id BIGINT, value DOUBLE"
 
 
 @query
 def rescue_columns(spark, sf):
-    """One field is unknown to the schema, and some values are of another type."""
+    """One field is unknown to the schema, some values are of another type, some lines are cut off."""
     folder = work_dir(spark, "rescue")
     broken = F.when(F.col("event_type") == "error", "broken").otherwise(
         F.col("value").cast("string"))
     number = F.col("event_type") != "error"
     events = table(spark, sf, "events")
     _event_lines(events.filter(number), F.col("value")).unionByName(
-        _event_lines(events.filter(~number), broken)).write.text(f"{folder}/lines")
+        _event_lines(events.filter(~number), broken)).select(_cut_off("signup")).write.text(f"{folder}/lines")
     lines = evolution.read_lines(spark, f"{folder}/lines", stream=True)
     finish(append_stream(evolution.parse_rescuing(lines, EVENT_FIELDS), f"{folder}/bronze",
                          f"{folder}/checkpoint"))
-    return read_table(spark, f"{folder}/bronze").drop("source_file")
+    return read_table(spark, f"{folder}/bronze").drop("source_file").withColumns(
+        {c: F.col(c).cast("double") for c in ("event_id", "user_id")})
 
 
 @query
 def quarantine_bad_records(spark, sf):
     """The lines of one event type are cut off."""
     folder = work_dir(spark, "quarantine")
-    lines = _event_lines(table(spark, sf, "events"), F.col("value")).select(
-        F.when(F.col("value").contains('"event_type":"error"'),
-               F.substring_index("value", ',"value"', 1)).otherwise(F.col("value"))
-        .alias("value"))
+    lines = _event_lines(table(spark, sf, "events"), F.col("value")).select(_cut_off("error"))
     lines.write.text(f"{folder}/lines")
     read = evolution.read_lines(spark, f"{folder}/lines", stream=True)
     finish(append_stream(quarantine.marked(read, EVENT_FIELDS), f"{folder}/bronze",
@@ -271,8 +275,11 @@ ORACLE["copy_into_twice"] = """
            CASE WHEN event_type <> 'purchase' THEN event_type END AS event_type
     FROM events"""
 ORACLE["rescue_columns"] = """
-    SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN value END AS value,
-           CASE WHEN event_type = 'error' THEN '{"value":"broken","event_type":"error"}'
+    SELECT CASE WHEN event_type <> 'signup' THEN CAST(event_id AS DOUBLE) END AS event_id,
+           CASE WHEN event_type <> 'signup' THEN CAST(user_id AS DOUBLE) END AS user_id,
+           CASE WHEN event_type NOT IN ('error', 'signup') THEN value END AS value,
+           CASE event_type WHEN 'error' THEN '{"value":"broken","event_type":"error"}'
+                WHEN 'signup' THEN concat('{"event_id":', event_id, ',"user_id":', user_id)
                 ELSE concat('{"event_type":"', event_type, '"}') END AS _rescued_data
     FROM events"""
 ORACLE["quarantine_bad_records"] = """

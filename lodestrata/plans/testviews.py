@@ -66,7 +66,7 @@ VIEWS = {
                CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS delivery_address,
                nullif(o_orderpriority, '5-LOW') AS city,
                o_orderdate AS dt_current_timestamp, o_orderkey AS ingestion_order
-        FROM {orders} WHERE o_custkey % 10 <> 0""",
+        FROM {orders}""",
     "profile_users": """
         SELECT user_id AS cpf, user_id,
                CASE WHEN event_id % 6 <> 0 THEN event_type END AS first_name,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -21,9 +22,10 @@ def run(spark: SparkSession, source: str, target: str, *, snapshot: int, at: dat
     """Take in the snapshots in the folders mongo and mssql.
 
     ``snapshot`` numbers the load and ``at`` is its time. A load that is repeated
-    replaces what it wrote before.
+    replaces what it wrote before; only the last load can be repeated.
     """
     layers = Layers(spark, target)
+    _refuse_later_loads(layers, snapshot)
     now = F.lit(at)
     layers.refresh("bronze_delivery_users", read_json(
         spark, f"{source}/mongo/*", schema=DELIVERY_USERS, now=now))
@@ -34,13 +36,11 @@ def run(spark: SparkSession, source: str, target: str, *, snapshot: int, at: dat
 
     staging = layers.read("silver_users_staging")
     layers.refresh("silver_users_unified", snapshots.current_state(staging, now))
-    _write_load(snapshots.history_rows(staging, now), layers.path("silver_users_appended"),
-                snapshot, ["snapshot"])
+    _write_load(snapshots.history_rows(staging, now), layers.path("silver_users_appended"), snapshot)
     before = open_versions(layers, snapshot)
     history = snapshots.open_history(staging, now) if before is None else \
         snapshots.apply_snapshot(before, staging, keys=["cpf"], tracked=TRACKED, at=now)
-    _write_load(history, layers.path("silver_users_history"), snapshot,
-                ["snapshot", "is_current"])
+    _write_load(history, layers.path("silver_users_history"), snapshot, ["is_current"])
     layers.refresh("gold_user_analytics", users.user_analytics(
         layers.read("silver_users_unified"), layers.read("silver_users_appended"), as_of,
         one_row_per_user=True))
@@ -69,6 +69,16 @@ def _history_rows(layers: Layers) -> DataFrame:
         "is_current", F.col("is_current").cast("boolean"))
 
 
-def _write_load(df: DataFrame, path: str, snapshot: int, partition_by: list[str]) -> None:
-    df.withColumn("snapshot", F.lit(snapshot)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+def _write_load(df: DataFrame, path: str, snapshot: int, partition_by: Sequence[str] = ()) -> None:
+    """Replaces all that this load wrote before, also folders that it leaves empty now."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/snapshot={snapshot}")
+
+
+def _refuse_later_loads(layers: Layers, snapshot: int) -> None:
+    """Later loads build on this one: they would have to be repeated too, from the first on."""
+    try:
+        last = layers.read("silver_users_history").agg(F.max("snapshot")).first()[0]
+    except AnalysisException:
+        return
+    if last is not None and last > snapshot:
+        raise ValueError(f"load {snapshot} can't be repeated after load {last}")

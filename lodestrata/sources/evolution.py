@@ -70,21 +70,24 @@ def parse_rescuing(lines: DataFrame, schema: Schema, options: Options | None = N
                    line: str = "value") -> DataFrame:
     """Parsed columns, and in ``_rescued_data`` as JSON what they cannot hold.
 
-    That is every field outside the schema and every value of another type.
-    Other columns of ``lines`` stay.
+    That is every field outside the schema and every value of another type. A line
+    that is no JSON object is kept there as it is. Other columns of ``lines`` stay.
     """
     schema = as_struct(schema)
     others = [c for c in lines.columns if c != line]
     parsed = F.from_json(line, schema, dict(options or {}))
     raw = F.from_json(line, T.MapType(T.StringType(), T.StringType()))
-    rows = lines.select(*others, parsed.alias("_row"), raw.alias("_raw"))
+    broken = F.col(line).isNotNull() & (F.try_parse_json(F.col(line)).isNull() | raw.isNull())
+    rows = lines.select(
+        *others, parsed.alias("_row"), raw.alias("_raw"), F.when(broken, F.col(line)).alias("_broken"))
     unread = _unread(schema)
     known = F.array(*[F.lit(name) for name in schema.fieldNames()])
     rest = F.map_filter(
         F.col("_raw"),
         lambda name, _: ~F.array_contains(known, name) | F.array_contains(unread, name))
     return rows.select(
-        "_row.*", *others, F.when(F.size(rest) > 0, F.to_json(rest)).alias(RESCUED))
+        "_row.*", *others,
+        F.coalesce("_broken", F.when(F.size(rest) > 0, F.to_json(rest))).alias(RESCUED))
 
 
 def _unread(schema: T.StructType):

@@ -75,9 +75,35 @@ def with_hints(schema: T.StructType, hints: str | None) -> T.StructType:
     return T.StructType(kept + list(hinted.values()))
 
 
+class ChangedTypeError(Exception):
+    """A field arrived with values that its stored type can't hold."""
+
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def holds(stored: T.DataType, found: T.DataType) -> bool:
+    """Whether values of the found type can be read as the stored one without loss."""
+    if stored == found or isinstance(stored, T.StringType) or isinstance(found, T.NullType):
+        return True
+    if isinstance(stored, T.StructType) and isinstance(found, T.StructType):
+        known = {f.name: f.dataType for f in stored.fields}
+        return all(f.name not in known or holds(known[f.name], f.dataType) for f in found.fields)
+    if isinstance(stored, T.ArrayType) and isinstance(found, T.ArrayType):
+        return holds(stored.elementType, found.elementType)
+    if isinstance(stored, (T.DoubleType, T.DecimalType, T.LongType)) and isinstance(found, _WHOLE):
+        return True
+    # Inference reads hinted decimals, dates and times as numbers or text.
+    return isinstance(stored, (T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)) and isinstance(
+        found, (T.StringType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def merged(stored: T.StructType, found: T.StructType) -> T.StructType:
-    """The stored fields, then the new ones. Stored types stay."""
-    known = set(stored.fieldNames())
+    """The stored fields, then the new ones. A stored type that can't hold what was found raises."""
+    known = {f.name: f.dataType for f in stored.fields}
+    changed = [f.name for f in found.fields if f.name in known and not holds(known[f.name], f.dataType)]
+    if changed:
+        raise ChangedTypeError(f"values of another type in {changed}: give a wider type as a hint")
     return T.StructType(stored.fields + [f for f in found.fields if f.name not in known])
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PART, RANGE = "key_part", "range_part"
-OPEN = -1  # the range of rows that have no ordering number yet
+# The range of rows that have no ordering number yet; no 64-bit number over a width lies there.
+OPEN = -(1 << 62)
 _EMPTY = "_empty"
 
 
@@ -33,14 +34,14 @@ class KeyedTable:
         """Add the folder columns."""
         return df.withColumns({
             PART: self.part_of(),
-            RANGE: self.range_of(F.col(self.ordered_by)) if self.ordered_by else F.lit(0),
+            RANGE: self.range_of(F.col(self.ordered_by)) if self.ordered_by else F.lit(0).cast("long"),
         })
 
     def part_of(self) -> Column:
         return F.pmod(F.hash(*self.keys), F.lit(self.parts))
 
     def range_of(self, value: Column) -> Column:
-        number = F.floor(value.cast("double") / F.lit(self.width)).cast("int")
+        number = F.floor(value.cast("double") / F.lit(self.width)).cast("long")
         return F.coalesce(number, F.lit(OPEN))
 
     def read(self, spark: SparkSession, parts: Sequence[int] | None = None,

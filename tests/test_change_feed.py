@@ -3,9 +3,11 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lodestrata.operators import change_feed as cf
 from lodestrata.operators.skew import HotKeys
+from lodestrata.streaming.change_tables import HistoryTable
 
 SCHEMA = "k string, seq long, v string, u int, op string, tie int"
 RULES = cf.ChangeRules(keys=["k"], sequence="seq", deletes="op = 'D'", tracked=["v"],
@@ -56,8 +58,8 @@ def versions(spark, rows, events, hot=None):
 
 
 @pytest.mark.parametrize("hot", [
-    None, HotKeys(), HotKeys(share=0.01, min_rows=20, pieces=8),
-    HotKeys(share=0.0001, min_rows=0, pieces=64)])
+    None, HotKeys(), HotKeys(rows_per_piece=20),
+    HotKeys(rows_per_piece=2), HotKeys(rows_per_piece=1, max_cuts=50)])
 def test_versions_equal_brute_force(spark, rows, hot):
     events = random_events(7, {"hot": 900, "warm": 120, "b": 5, "c": 1})
     assert versions(spark, rows, events, hot) == one_by_one(events)
@@ -134,3 +136,23 @@ def test_union_pads_and_matches_by_name(spark, rows):
                          types={"n": "long"})
     assert rows(got) == [("1", "e", None, 5), ("2", None, "Ana", 6)]
     assert got.schema["n"].dataType.simpleString() == "bigint"
+
+
+def test_equal_sequences_give_one_definite_row(spark, rows):
+    events = spark.createDataFrame([("a", 1, "X"), ("a", 1, "Y")], "cpf string, n long, city string")
+    rules = cf.ChangeRules(keys=["cpf"], sequence="n", deletes="false", tracked=["city"])
+    for order in (events, events.orderBy("city"), events.orderBy(F.desc("city")).coalesce(1)):
+        assert rows(cf.scd1(order, rules), "city") == [("Y",)]
+        assert rows(cf.scd2(order, rules), "city") == [("Y",)]
+
+
+@pytest.mark.parametrize("first", [1_700_000_000_000_000_000, -5_000_000])
+def test_history_table_with_any_sequence(spark, rows, tmp_path, first):
+    """Nanoseconds and negative numbers."""
+    rules = cf.ChangeRules(keys=["cpf"], sequence="n", deletes="false", tracked=["city"])
+    table = HistoryTable(f"{tmp_path}/t", rules, parts=2)
+    for batch, (n, city) in enumerate([(first, "X"), (first + 4_000_000, "Y"), (first + 9_000_000, "Z")]):
+        table.update(spark.createDataFrame([("a", n, city)], "cpf string, n long, city string"), batch)
+    found = rows(table.read(spark), "city", cf.START, cf.END)
+    assert found == sorted([("X", first, first + 4_000_000), ("Y", first + 4_000_000, first + 9_000_000),
+                            ("Z", first + 9_000_000, None)], key=str)

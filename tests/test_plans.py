@@ -118,6 +118,23 @@ def test_users_batch_job(spark, rows, tmp_path):
     assert analytics == [("X", 1, 0.0, "Unknown"), ("Y", 1, 1.0, "Leadership")]
 
 
+def test_users_batch_load_repeated_with_other_input(spark, rows, tmp_path):
+    def load(number, *cities):
+        put(tmp_path / "in/mongo", "1.json", *[
+            {"cpf": cpf, "user_id": "x1", "city": city, "dt_current_timestamp": "not a time"} for cpf, city in cities])
+        put(tmp_path / "in/mssql", "1.json", {"cpf": "a", "birthday": "31/12/1990"})
+        return users_batch.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", snapshot=number,
+                               at=datetime(2024, 1, number), as_of=F.lit(date(2024, 2, 1)))
+
+    load(1, ("a", "X"), ("b", "X"))
+    load(2, ("a", "Y"), ("b", "Z"))
+    layers = load(2, ("a", "X"), ("b", "X"))
+    found = rows(users_batch.history(layers), "cpf", "city", "is_current", "user_id", "birthday")
+    assert found == [("a", "X", True, None, None), ("b", "X", True, None, None)]
+    with pytest.raises(ValueError):
+        load(1, ("a", "X"))
+
+
 def test_users_stream_job(spark, rows, tmp_path):
     def change(cpf, number, operation="UPDATE", **fields):
         return {"cpf": cpf, "user_id": 1, "operation": operation, "sequenceNum": number,

@@ -150,3 +150,20 @@ def test_alerts_are_sent(spark, tmp_path):
                        path=f"{tmp_path}/out"))
     sent = spark.read.json(f"{tmp_path}/out").first()
     assert sent.key == "o1" and json.loads(sent.value) == {"order_id": "o1", "delay": 50.0}
+
+
+def test_truncated_lines_are_rescued(spark, rows):
+    lines = spark.createDataFrame([('{"a":1}',), ('{"a":2,"b":',), ("[1]",), ("",), (None,)], "value string")
+    found = evolution.parse_rescuing(lines, "a BIGINT, b STRING")
+    assert rows(found) == sorted([(1, None, None), (None, None, '{"a":2,"b":'), (None, None, "[1]"),
+                                  (None, None, ""), (None, None, None)], key=str)
+
+
+def test_stored_types_do_not_lose_values(spark, tmp_path):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    spark.createDataFrame([('{"v":7}',)], "value string").write.text(source)
+    loading.copy_into(spark, source, target)
+    spark.createDataFrame([('{"v":7.25}',)], "value string").write.mode("append").text(source)
+    with pytest.raises(schemas.ChangedTypeError):
+        loading.copy_into(spark, source, target)
+    assert [r.v for r in loading.loaded(spark, target).collect()] == [7]
