@@ -316,8 +316,9 @@ def near_copies(
         "shingle-groups")
     hits = shared_counts(rows, words, percent)
     likely = groups.join(hits, groups.s1 == hits.owner).filter(F.expr("hits >= greatest(1, n div 20)")).select("rep")
-    grams = stored(_grams(rows.join(stored(likely, "shingle-likely"), F.col("row") == F.col("rep")), words),
-                   "shingle-grams")
+    # The list grows with the input: it is never broadcast, and the plan is the same at every size.
+    chosen = rows.join(stored(likely, "shingle-likely").hint("merge"), F.col("row") == F.col("rep"))
+    grams = stored(_grams(chosen, words), "shingle-grams")
     single = grams.select("row", F.explode("grams").alias("gram"))
     often = single.groupBy("gram").agg(F.count(F.lit(1)).cast("int").alias("df")).filter("df > 1")
     listed = single.join(often, "gram").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams"))
