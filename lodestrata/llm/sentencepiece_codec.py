@@ -28,7 +28,7 @@ from lodestrata.llm.arrow import map_batches
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 # Bounds of a Python worker's memory: words and pairs it remembers, characters it cuts at once.
-MOST_WORDS, MOST_PAIRS, SLICE_CHARS = 600_000, 1_000_000, 1 << 20
+MOST_WORDS, MOST_PAIRS, SLICE_CHARS = 250_000, 500_000, 1 << 19
 
 
 class Vocabulary:
