@@ -7,23 +7,23 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 
 from lodestrata.operators.deliveries import daily_kpis, deliveries
-from lodestrata.plans.layers import Layers
+from lodestrata.plans.layers import MAX_BYTES, Layers
 from lodestrata.sources.json_files import stream_json
 from lodestrata.sources.schemas import ORDER_EVENTS, STATUS_EVENTS
 
 
 def run(spark: SparkSession, source: str, target: str, *,
-        trigger: Mapping[str, object] | None = None,
+        trigger: Mapping[str, object] | None = None, max_bytes: int = MAX_BYTES,
         within_seconds: int | None = None, watermark: str | None = None) -> Layers:
     """``source`` holds files kafka_orders_* and kafka_status_*.
 
     Without a time bound the stream join keeps every order and status for good.
     """
-    layers = Layers(spark, target, trigger)
+    layers = Layers(spark, target, trigger, max_bytes)
     layers.append("bronze_orders", stream_json(
-        spark, f"{source}/kafka_orders_*", schema=ORDER_EVENTS))
+        spark, f"{source}/kafka_orders_*", schema=ORDER_EVENTS, max_bytes=max_bytes))
     layers.append("bronze_status", stream_json(
-        spark, f"{source}/kafka_status_*", schema=STATUS_EVENTS))
+        spark, f"{source}/kafka_status_*", schema=STATUS_EVENTS, max_bytes=max_bytes))
     layers.append("silver_deliveries", deliveries(
         layers.stream("bronze_orders"), layers.stream("bronze_status"),
         within_seconds=within_seconds, watermark=watermark))

@@ -12,6 +12,9 @@ from lodestrata.sources.tables import (
 )
 
 
+MAX_BYTES = 5 * 1024**3
+
+
 @dataclass(frozen=True)
 class Layers:
     """Tables of one job under a shared folder.
@@ -24,6 +27,8 @@ class Layers:
     spark: SparkSession
     root: str
     trigger: Mapping[str, object] | None = None
+    # Bound of every micro-batch of the job.
+    max_bytes: int = MAX_BYTES
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -56,4 +61,4 @@ class Layers:
         return read_table(self.spark, self.path(name))
 
     def stream(self, name: str) -> DataFrame:
-        return stream_table(self.spark, self.path(name))
+        return stream_table(self.spark, self.path(name), max_bytes=self.max_bytes)

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 
 from lodestrata.operators import order_status as os_, performance
-from lodestrata.plans.layers import Layers
+from lodestrata.plans.layers import MAX_BYTES, Layers
 from lodestrata.sources import alerts
 from lodestrata.sources.evolution import resolve_schema
 from lodestrata.sources.json_files import stream_json
@@ -16,22 +16,18 @@ from lodestrata.sources.tables import AVAILABLE_NOW
 from lodestrata.streaming.aggregates import maintain_running
 from lodestrata.streaming.keyed_table import KeyedTable
 
-# Orders without a status leave the join two hours and a watermark after their
-# time, so windows over the stored rows must wait longer than the join does.
-WINDOW_WATERMARK = "150 minutes"
-
 
 def run(spark: SparkSession, source: str, target: str, *,
-        trigger: Mapping[str, object] | None = None,
+        trigger: Mapping[str, object] | None = None, max_bytes: int = MAX_BYTES,
         kafka: Mapping[str, str] | None = None) -> Layers:
     """``source`` holds the folders orders and status."""
-    layers = Layers(spark, target, trigger)
+    layers = Layers(spark, target, trigger, max_bytes)
     orders = f"{source}/orders/*.json"
     schema = resolve_schema(spark, orders, SchemaStore(spark, layers.path("schemas/orders")),
                             "add", hints=ORDER_HINTS)
-    layers.append("bronze_orders", stream_json(spark, orders, schema=schema))
+    layers.append("bronze_orders", stream_json(spark, orders, schema=schema, max_bytes=max_bytes))
     layers.append("bronze_status", os_.flatten_status(stream_json(
-        spark, f"{source}/status/*", schema=STATUS_EVENTS)))
+        spark, f"{source}/status/*", schema=STATUS_EVENTS, max_bytes=max_bytes)))
 
     layers.append("silver_order_status", os_.order_status(
         layers.stream("bronze_orders"), layers.stream("bronze_status"),
@@ -42,10 +38,11 @@ def run(spark: SparkSession, source: str, target: str, *,
         alerts.payload(layers.stream("silver_delayed_orders")), layers.checkpoint("alerts"),
         path=layers.path("alerts"), kafka=kafka, trigger=trigger or AVAILABLE_NOW))
 
-    windows = layers.stream("silver_order_status").withWatermark(
-        "order_event_time", WINDOW_WATERMARK)
-    layers.append("gold_restaurant_performance",
-                  performance.restaurant_performance(windows, approximate=True))
+    # Join and windows are one query: one watermark serves both, so no window closes
+    # before the join has given out its orders without a status.
+    layers.append("gold_restaurant_performance", performance.restaurant_performance(os_.order_status(
+        layers.stream("bronze_orders"), layers.stream("bronze_status"), watermark=os_.WATERMARK),
+        approximate=True))
     for name, key, metrics in (
         ("gold_driver_performance", "driver_key",
          lambda rows: performance.driver_performance(rows, approximate=True)),

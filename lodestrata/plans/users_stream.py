@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.operators import change_feed as cf, users
-from lodestrata.plans.layers import Layers
+from lodestrata.plans.layers import MAX_BYTES, Layers
 from lodestrata.sources.evolution import parse_rescuing, read_lines
 from lodestrata.sources.schemas import DELIVERY_CHANGES, PROFILE_CHANGES
 from lodestrata.sources.tables import AVAILABLE_NOW
@@ -24,12 +24,12 @@ FEEDS = {"mongo": DELIVERY_CHANGES, "mssql": PROFILE_CHANGES}
 
 
 def run(spark: SparkSession, source: str, target: str, *,
-        trigger: Mapping[str, object] | None = None, parts: int = 64,
+        trigger: Mapping[str, object] | None = None, max_bytes: int = MAX_BYTES, parts: int = 64,
         width: int = 1_000_000) -> Layers:
     """``source`` holds the folders mongo and mssql."""
-    layers = Layers(spark, target, trigger)
+    layers = Layers(spark, target, trigger, max_bytes)
     for name, schema in FEEDS.items():
-        lines = read_lines(spark, f"{source}/{name}/", stream=True)
+        lines = read_lines(spark, f"{source}/{name}/", stream=True, max_bytes=max_bytes)
         rows = parse_rescuing(lines, schema)
         layers.append(f"bronze_{name}_users",
                       rows.withColumn("ingestion_timestamp", F.current_timestamp()))

@@ -72,9 +72,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The rows appended to a table since the last micro-batch."""
+def stream_table(spark: SparkSession, path: str, max_files: int | None = None,
+                 max_bytes: int | None = None) -> DataFrame:
+    """The rows appended to a table since the last micro-batch, whose size is bounded."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path)
