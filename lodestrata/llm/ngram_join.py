@@ -36,7 +36,7 @@ from lodestrata.llm.tables import numbered, stored
 
 WORDS, PERCENT = 5, 75
 # N-grams of the sets in one block of a trie task, and entries a task packs at once.
-BLOCK, CHUNK = 100_000, 1 << 20
+BLOCK, CHUNK = 100_000, 1 << 18
 _U = np.uint64
 
 
@@ -120,7 +120,8 @@ def shared_counts(rows: DataFrame, words: int, percent: int) -> DataFrame:
             for grams in shingle_sets(batch.column(0), words):
                 n = len(grams)
                 if n:
-                    first = grams[: n - _least_overlap(n, percent) + int(_extra(n)) + 1]
+                    # A copy, so that the rest of the set is let go.
+                    first = grams[: n - _least_overlap(n, percent) + int(_extra(n)) + 1].copy()
                     keys.append(first)
                     owners.append(np.full(len(first), _signature(grams)[0]))
                     size += len(first)

@@ -147,15 +147,21 @@ def fit(
     return Classifier.fit(x[order], y[order])
 
 
-def scored(docs: DataFrame, model: Classifier, columns: list[Column], text_col: str = "text") -> DataFrame:
-    """``columns`` of ``docs`` and ``evidence``, the classifier's probability. Nothing is shuffled."""
+def scored(
+    docs: DataFrame, model: Classifier, columns: list[Column], text_col: str = "text", with_text: bool = False
+) -> DataFrame:
+    """``columns`` of ``docs``, ``__text`` if asked for, and ``evidence``, the classifier's probability.
+
+    Nothing is shuffled.
+    """
     chosen = docs.select(*columns, F.col(text_col).alias("__text"))
-    schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("evidence", T.DoubleType())])
+    left = len(chosen.columns) - (not with_text)
+    schema = T.StructType([*chosen.schema.fields[:left], T.StructField("evidence", T.DoubleType())])
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = model.probability(features(batch.column(batch.num_columns - 1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:left], pa.array(p)], names=schema.names)
 
     return map_batches(chosen, judged, schema)
 
@@ -252,6 +258,9 @@ def accepted(
     model = fit(docs, labels, id_col, text_col, label_col, sample_rows)
     site = [F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path")]
     sites, shrink = site_sums(stored(scored(docs, model, site, text_col), "quality-evidence"))
-    whole = F.struct(*[docs[c].alias(f"c{k}") for k, c in enumerate(docs.columns)]).alias("whole")
-    rows = with_posteriors(scored(docs, model, [whole, *site], text_col), sites, shrink, model.prior, threshold)
-    return rows.filter("kept").select(*[F.col(f"whole.c{k}").alias(c) for k, c in enumerate(docs.columns)])
+    others = [c for c in docs.columns if c != text_col]
+    whole = F.struct(F.lit(True).alias("row"), *[docs[c].alias(f"c{k}") for k, c in enumerate(others)]).alias("whole")
+    rows = with_posteriors(
+        scored(docs, model, [whole, *site], text_col, True), sites, shrink, model.prior, threshold).filter("kept")
+    named = {c: F.col(f"whole.c{k}") for k, c in enumerate(others)} | {text_col: F.col("__text")}
+    return rows.select(*[named[c].alias(c) for c in docs.columns])

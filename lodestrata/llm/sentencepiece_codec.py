@@ -298,18 +298,6 @@ class Codec:
         return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
-_CODECS: dict[tuple[int, str], Codec] = {}
-
-
-def _codec(model: bytes, kind: str) -> Codec:
-    """One codec a Python worker, so that its words serve later tasks too."""
-    key = (hash(model), kind)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(model, kind)
-    return _CODECS[key]
-
-
 def read_model(path: str = MODEL_PATH) -> bytes:
     """The content of a model file. The driver reads it; tasks get its half megabyte with their code."""
     with open(path, "rb") as file:
@@ -350,7 +338,8 @@ def encode(
     ])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model, kind)
+        # What a task learns goes with it: the worker serves other operators afterwards.
+        codec = Codec(model, kind)
         for batch in batches:
             for at in range(0, batch.num_rows, STEP_ROWS):
                 part = batch.slice(at, STEP_ROWS)
@@ -375,7 +364,7 @@ def decode(
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField(into, T.StringType())])
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model, "bpe")
+        codec = Codec(model)
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
             for at in range(0, batch.num_rows, STEP_ROWS):
