@@ -23,6 +23,8 @@ _STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    # An open store keeps files of some megabytes that it has set aside; close it when its task ends.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
