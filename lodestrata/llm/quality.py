@@ -139,7 +139,9 @@ def fit(
                 [batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(
                     pa.list_(pa.float64()))], names=["y", "x"])
 
-    rows = docs.select(id_col, text_col).join(chosen, id_col).select(F.col("__label").cast("double"), text_col)
+    # At most ``sample_rows`` ids and labels are broadcast, so no text is shuffled.
+    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(
+        F.col("__label").cast("double"), text_col)
     sample = map_batches(rows, measured, schema).toPandas()
     x = np.array(sample["x"].tolist(), float).reshape(len(sample), len(FEATURES))
     y = sample["y"].to_numpy(float)
