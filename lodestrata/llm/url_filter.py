@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lodestrata.llm.arrow import map_batches
+from lodestrata.llm.url_terms import TERMS
 
 # Fixed values. One strict term rejects an address; soft terms need several distinct ones.
-STRICT_TERMS = ("casino", "escort", "hentai", "phishing", "porn", "viagra", "warez", "xxx")
-SOFT_TERMS = (
-    "adult", "bet", "bets", "bonus", "cam", "cheap", "dating", "free", "jackpot", "loan", "lottery", "nude",
-    "pills", "poker", "sex", "slots", "win",
-)
 SOFT_LIMIT = 2
+STRICT_TERMS, SOFT_TERMS = (
+    tuple(sorted(t for terms in TERMS.values() for t, weight in terms.items() if (weight >= SOFT_LIMIT) == strict))
+    for strict in (True, False)
+)
 RULES = {
     "org/": "allow",
     "example.org/es/": "block",

@@ -106,6 +106,35 @@ def test_urls(spark, url, wanted):
     assert (row.host, row.path, row.rule, row.verdict) == wanted
 
 
+UNWANTED = {
+    "adult": ("adult-x.net", "m.adult-films.net", "nsfw.a.net", "free-sex-cams.net", "escorts.b.net/city", "sexcam.net"),
+    "gambling": ("casino-win.net", "free-bets.net", "sportsbook.a.net", "b.net/betting/today", "poker-bonus.net", "slot-machine.net"),
+    "pharmacy": ("cheap-pills.net", "cialis.a.net", "online-pharmacy.net", "b.net/tramadol-no-prescription", "rx-meds.net"),
+    "spam and link farms": ("spam-farm.net", "link-farm.a.net", "linkfarm.net", "b.net/buy-backlinks", "seo-backlinks.net"),
+    "ads and tracking": ("ads-track.net", "ads.a.net/1", "adserver.net", "b.net/click-tracker", "sponsored-banners.net"),
+    "fraud and stolen goods": ("warez.net", "keygen.a.net", "payday-loans.net", "torrents-cracked.net", "b.net/phishing"),
+}
+CLEAN = (
+    "www.library.net/loans", "free-software.net/download", "a.net/package/tracking", "issues.net/tracker/12", "pharmacy.a.net",
+    "organic-farm.net/links", "sussex.net/adulthood", "a.net/win/rates", "news.net/lottery", "essex.net/bettina", "a.net/seo",
+    "downloads.net/roads/leads", "camera.net", "spamalot.net", "scunthorpe.net", "a.net/en/12?page=2&ref=x", "feeds.net?utm_source=feed",
+)
+
+
+def test_urls_by_category(spark):
+    urls = [(c, f"https://{u}") for c, all_of in {**UNWANTED, "clean": CLEAN}.items() for u in all_of]
+    judged = url_filter.judge_urls(spark.createDataFrame(urls, "page_id string, url string"))
+    blocked = Counter(r.page_id for r in judged.collect() if r.verdict == "block")
+    assert blocked == {c: len(all_of) for c, all_of in UNWANTED.items()}
+
+
+def test_urls_of_the_table(spark):
+    """Of pages that no rule decides, all of the unwanted hosts and no other are blocked."""
+    judged = url_filter.judge_urls(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).filter("rule IS NULL")
+    unwanted = F.col("host").rlike("ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm")
+    assert judged.filter((F.col("verdict") == "block") != unwanted).count() == 0
+
+
 def test_urls_of_nothing(spark):
     df = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge_urls(df).count() == 0
