@@ -23,9 +23,8 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the least id."""
-    found = ngram_join.near_copies(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return docs.join(found.select(F.col("doc_id").alias("__kept")), docs.doc_id.eqNullSafe(F.col("__kept")), "left_semi")
+    """One row of each group of near copies stays, one with the least id; repeated and null ids are rows of their own."""
+    return ngram_join.first_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

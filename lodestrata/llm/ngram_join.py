@@ -32,7 +32,7 @@ from lodestrata.llm.arrow import map_batches, ship
 from lodestrata.llm.components import components
 from lodestrata.llm.packed import Fields, by_key, runs
 from lodestrata.llm.shingles import mix, shingle_sets
-from lodestrata.llm.tables import numbered, stored
+from lodestrata.llm.tables import numbered, stored, with_rows
 
 WORDS, PERCENT = 5, 75
 # N-grams of the sets in one block of a trie task, and entries a task packs at once.
@@ -311,6 +311,37 @@ def near_copies(
     64-bit hashes. Other columns are not read.
     """
     rows, own_ids = numbered(docs, id_col, text_col)
+    named = row_groups(rows, words, percent)
+    if own_ids:
+        return named.withColumnRenamed("row", id_col)
+    with_ids = named.join(rows.select("row", "id"), "row")
+    names = with_ids.groupBy("component_id").agg(F.min("id").alias("least_id"))
+    return with_ids.join(names, "component_id").select(
+        F.col("id").alias(id_col), "n_shingles", F.col("least_id").alias("component_id"))
+
+
+def first_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of ``docs`` without all but one row of each component of ``near_copies``.
+
+    The row with the least id stays, nulls last; of equal ids the one with the least
+    digest of its text, and of equal texts any one row.
+    """
+    whole, own_ids = with_rows(docs, id_col)
+    found = row_groups(whole.select(F.col("__row").alias("row"), F.col(text_col).alias("text")), words, percent)
+    if own_ids:
+        kept = found.filter(F.col("row") == F.col("component_id")).select(F.col("row").alias("__kept"))
+    else:
+        keys = whole.select(
+            "__row", F.struct(F.col(id_col).isNull(), F.col(id_col), F.sha2(text_col, 256), F.col("__row")).alias("key"))
+        kept = found.join(keys, F.col("row") == F.col("__row")).groupBy("component_id").agg(
+            F.min("key")["__row"].alias("__kept")).select("__kept")
+    return whole.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
+
+
+def row_groups(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(row, n_shingles, component_id) of (row, text); ``component_id`` is the least row of the component."""
     all_sets = stored(measured(rows, words), "shingle-sets")
     groups = stored(
         all_sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("row").alias("rep"), F.min("n").alias("n")),
@@ -341,11 +372,5 @@ def near_copies(
     final = components(links.unionByName(more))
     reps = groups.select("s1", "s2", "rep").join(final, F.col("rep") == F.col("node"), "left").select(
         "s1", "s2", F.coalesce("component", "rep").alias("least"))
-    named = all_sets.join(reps, ["s1", "s2"], "left").select(
+    return all_sets.join(reps, ["s1", "s2"], "left").select(
         "row", F.col("n").alias("n_shingles"), F.coalesce("least", "row").alias("component_id"))
-    if own_ids:
-        return named.withColumnRenamed("row", id_col)
-    with_ids = named.join(rows.select("row", "id"), "row")
-    names = with_ids.groupBy("component_id").agg(F.min("id").alias("least_id"))
-    return with_ids.join(names, "component_id").select(
-        F.col("id").alias(id_col), "n_shingles", F.col("least_id").alias("component_id"))

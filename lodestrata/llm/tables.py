@@ -20,6 +20,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbers_rows(df: DataFrame, id_col: str) -> bool:
+    """Whether the ids are whole numbers without nulls or repetitions."""
+    if not isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
+        return False
+    counts = df.agg(F.count(F.lit(1)), F.count_distinct(id_col)).first()
+    return counts[0] == counts[1]
+
+
 def numbered(df: DataFrame, id_col: str, value_col: str, value: str = "text") -> tuple[DataFrame, bool]:
     """(rows with a unique long ``row``, the ``id`` and the value; whether ``row`` is the id itself).
 
@@ -27,8 +35,13 @@ def numbered(df: DataFrame, id_col: str, value_col: str, value: str = "text") ->
     get numbers of their own, and are written so that they keep them.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(value_col).alias(value))
-    if isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
-        counts = rows.agg(F.count(F.lit(1)), F.count_distinct("id")).first()
-        if counts[0] == counts[1]:
-            return rows.select(F.col("id").cast("long").alias("row"), "id", value), True
+    if numbers_rows(df, id_col):
+        return rows.select(F.col("id").cast("long").alias("row"), "id", value), True
     return stored(rows.select(F.monotonically_increasing_id().alias("row"), "id", value), "numbered"), False
+
+
+def with_rows(df: DataFrame, id_col: str) -> tuple[DataFrame, bool]:
+    """(``df`` with a unique long ``__row``, as ``numbered`` gives it; whether ``__row`` is the id itself)."""
+    if numbers_rows(df, id_col):
+        return df.withColumn("__row", F.col(id_col).cast("long")), True
+    return stored(df.withColumn("__row", F.monotonically_increasing_id()), "numbered"), False

@@ -1,5 +1,6 @@
 """Operators on single texts, lines, addresses and sources."""
 
+import hashlib
 import os
 import random
 import re
@@ -284,3 +285,21 @@ def test_pipeline_equals_its_parts(spark):
     assert all(r.ids == encoded[r.doc_id] for r in found)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), SF_DIR).columns == docs.columns
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    """Repeated rows, ids with several texts and null ids."""
+    text = {k: " ".join(f"{k}{n}" for n in range(40)) for k in "tuvw"}
+    near = text["w"].replace("w39", "other")
+    rows = [
+        (7, text["t"]), (7, text["t"]), (3, text["t"]), (7, text["u"]), (None, text["t"]), (None, text["v"]), (None, text["v"]),
+        (None, near), (9, text["w"]), (9, near), (None, None), (None, ""), (5, None), (5, None), (None, "alone"),
+    ]
+    wanted = [(3, text["t"]), (7, text["u"]), (None, text["v"]), (None, None), (None, ""), (5, None), (5, None), (None, "alone")]
+    first = min((text["w"], near), key=lambda x: hashlib.sha256(x.encode()).hexdigest())
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = corpus_pipeline.ngram_jaccard_join(spark, df, SF_DIR)
+    assert found.columns == df.columns
+    assert Counter(map(tuple, found.collect())) == Counter([*wanted, (9, first)])
+    ids = spark.createDataFrame([("b", text["t"]), ("a", text["t"])], "doc_id string, text string")
+    assert [r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, ids, SF_DIR).collect()] == ["a"]
