@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.tables import stored
+from lodestrata.llm.tables import stored, with_rows
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST_COPIES = 1.5, 2
@@ -82,10 +82,11 @@ def fair_queue(
     weights=WEIGHTS,
     share: float = SHARE,
     most: int = MOST_COPIES,
+    row_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, taken copies) of the mix.
 
-    rows: ``row`` (a number of the input row), ``id``, ``size``, ``source_size``,
+    rows: ``row`` (``row_col``, or else a number given to the input row here), ``id``, ``size``, ``source_size``,
     ``target``. copies: ``row``, ``copy`` (0 for the first pass over the source),
     ``finish``, for each copy of a row that the mix takes.
 
@@ -96,7 +97,7 @@ def fair_queue(
     """
     sizes = stored(
         docs.select(
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source_key"),
             words(F.col(text_col)).alias("size"),
@@ -131,17 +132,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken, range-sorted by finish time.
 
-    ``docs`` must read its rows in the same order each time, as a written table does.
+    Rows are known by their ids, or by numbers written with them where ids don't tell
+    them apart: files may be split otherwise when they are read again.
     """
-    _, copies = fair_queue(docs, **options)
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    taken = numbered.join(copies, numbered["__row"] == copies["row"])
+    whole, _ = with_rows(docs, id_col)
+    _, copies = fair_queue(whole, id_col, row_col="__row", **options)
+    taken = whole.join(copies, whole["__row"] == copies["row"])
     ordered = taken.repartitionByRange(F.col("finish"), F.col("row"), F.col("copy")).sortWithinPartitions(
         "finish", "row", "copy")
-    return ordered.select(*[numbered[c] for c in docs.columns])
+    return ordered.select(*[whole[c] for c in docs.columns])
 
 
 ORACLE = f"""

@@ -89,6 +89,30 @@ def test_mix_is_the_same_in_slices(spark, monkeypatch):
     assert sorted(map(tuple, mixing.mix(df).collect())) == before
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_mix_holds_when_files_are_split_otherwise(spark, monkeypatch, tmp_path, repeated):
+    """Cores come or go between the reads: the same rows are taken."""
+    rows = [(k // (1 + repeated), " ".join([f"w{k}"] * (k % 7 + 1)), "ab"[k % 3 == 0]) for k in range(240)]
+    path, cores = str(tmp_path / "docs"), "spark.sql.leafNodeDefaultParallelism"
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6).write.parquet(path)
+    plain = mixing.fair_queue
+
+    def queue_then_more_cores(*args, **options):
+        out = plain(*args, **options)
+        spark.conf.set(cores, "8")
+        return out
+
+    monkeypatch.setattr(mixing, "fair_queue", queue_then_more_cores)
+    spark.conf.set(cores, "1")
+    try:
+        found = Counter(r.text for r in mixing.mixed(spark.read.parquet(path)).collect())
+    finally:
+        spark.conf.unset(cores)
+    monkeypatch.undo()
+    taken = {(r.doc_id, r.size): r.taken // r.size for r in mixing.mix(spark.read.parquet(path)).collect()}
+    assert found == Counter({t: taken[i, len(t.split())] for i, t, _ in rows if taken[i, len(t.split())]})
+
+
 @pytest.mark.parametrize("url, wanted", [
     (None, ("", "", None, "allow")), ("no scheme casino", ("", "", None, "block")),
     ("http://X.Example.ORG/es/a?b", ("x.example.org", "/es/a", "example.org/es/", "block")),
