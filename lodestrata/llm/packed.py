@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -65,7 +66,9 @@ def by_key(
             size = len(next(iter(known.values())))
             for at in range(0, size, 65536):
                 share = {m: v[at : at + 65536] for m, v in known.items()}
-                rows.append((int(np.random.randint(parts)), b"", _pack(share, result_kinds)))
+                payload = _pack(share, result_kinds)
+                # The part follows from the content: a task that runs again deals its answers alike.
+                rows.append((zlib.crc32(payload) % parts, b"", payload))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),

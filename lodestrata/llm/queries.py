@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.llm import (
-    cover_tree, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sentencepiece_codec as codec,
+    collocations, cover_tree, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sentencepiece_codec as codec,
     substring_dedup, url_filter,
 )
 from lodestrata.llm.tables import table
@@ -59,10 +59,15 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_quality_classifier, op2_license_scan, op3_exact_dedup, op4_sentencepiece, op5_ngram_jaccard,
         op6_embedding_near_dedup, op7_line_dedup, op8_mixing, op9_url_filter, op10_suffix_array_dedup,
+        op11_phrase_collocations,
     )
 }
 ORACLE = {
@@ -71,4 +76,5 @@ ORACLE = {
     "op7_line_dedup": line_dedup.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op9_url_filter": url_filter.oracle_sql(),
+    "op11_phrase_collocations": collocations.ORACLE,
 }
