@@ -1,12 +1,13 @@
 """Phrases whose words stand together more often than by chance, counted by tries of candidates.
 
-A phrase can only be frequent if its parts are. Level by level, 64-bit codes of the
-phrases whose parts are frequent are summed over all tasks: a sum is never below
-the count of its phrase, so codes below the limit take out phrases safely. The
-codes that stay fill a bit filter of fixed size, by which tasks find the phrases
-themselves. These candidates are cut into tries of bounded size, which are sent to
-all tasks. A task moves the states of all positions of its texts on, a word at a
-time, and counts the accepting ones; the sums over the tasks are exact.
+A phrase can only be frequent if its parts are. 64-bit codes of the phrases whose
+parts are frequent are summed over all tasks: a sum is never below the count of its
+phrase, so codes below the limit take out phrases safely. The codes that stay fill a
+bit filter of fixed size, by which tasks find the phrases themselves. The candidates
+with the highest sums, which make up most of all occurrences, go into a trie of bounded
+size that is sent to all tasks. A task moves the states of all positions of its texts
+on, a word at a time, and counts the accepting ones; the sums over the tasks are
+exact. Candidates beyond that bound are rare: their occurrences are summed by a shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,12 +31,12 @@ WORDS, LEAST, TOP, SCALE = 3, 10, 2000, 1_000_000
 # A candidate goes if a longer phrase has so many percent of its occurrences.
 COVERED = 50
 UNKNOWN = "und"
-# Phrases of a trie, which a task holds in memory (some 60 bytes each).
-TRIE_PHRASES = 1_000_000
+# Phrases of the trie, which the driver builds and a task holds in memory (some 100 bytes each).
+TRIE_PHRASES = 500_000
 # Bits of a filter of frequent codes: 16 MB whatever the input. With more codes it lets more pass.
 FILTER_BITS = 1 << 27
 # Bytes of text that a task takes apart at once, and codes it holds before it gives them out.
-CHUNK, HELD = 1 << 20, 1 << 20
+CHUNK, HELD = 2 << 20, 1 << 20
 _U = np.uint64
 _SPREAD = 0x9E3779B97F4A7C15
 _GATHERED = pow(_SPREAD, -1, 1 << 64)
@@ -48,6 +48,7 @@ _KIND[list(_BLANK)] = 1
 _KIND[list(_BREAK)] = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_BYTE = mix(np.arange(1, 257, dtype=_U)) | _U(1)
 
 
 class Chunk:
@@ -79,11 +80,22 @@ class Chunk:
     def codes(self) -> np.ndarray:
         """A number for each word and its language."""
         parts = self.words.dictionary_encode()
-        spread = np.array([xxhash.xxh64_intdigest(w) for w in parts.dictionary.to_pylist()], _U)
-        by_lang = np.array([xxhash.xxh64_intdigest(x.encode(), 1) for x in self.langs], _U)
-        if not len(spread):
-            return np.zeros(0, _U)
-        return mix(spread[parts.indices.to_numpy()] ^ by_lang[self.lang])
+        by_lang = _hashed(pa.array(self.langs, pa.binary())) + _U(1)
+        return mix(_hashed(parts.dictionary)[parts.indices.to_numpy()] ^ by_lang[self.lang])
+
+
+def _hashed(words: pa.Array) -> np.ndarray:
+    """A 64-bit number for each word, from its bytes and their places."""
+    if not len(words):
+        return np.zeros(0, _U)
+    cuts = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]]
+    sizes = np.diff(cuts)
+    place = np.arange(len(data)) - np.repeat(cuts[:-1] - cuts[0], sizes)
+    powers = np.cumprod(np.full(int(sizes.max()) + 1, _SPREAD, _U))
+    ends = np.concatenate((np.zeros(1, _U), np.cumsum(mix(_BYTE[data] * powers[place]))))
+    # The wrapped sums of all bytes before give those of each word.
+    return mix(ends[cuts[1:] - cuts[0]] - ends[cuts[:-1] - cuts[0]] + sizes.astype(_U))
 
 
 def chunks(batch: pa.RecordBatch) -> Iterator[Chunk]:
@@ -130,17 +142,19 @@ def filter_of(codes: DataFrame) -> Filter:
     return Filter(bits)
 
 
-def _phrases(chunk: Chunk, filters: list[Filter], level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For 1 .. ``level`` words (first word's position, code) of phrases whose parts pass the filters of their lengths."""
+def _phrases(chunk: Chunk, frequent: list[Filter], level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1 .. ``level`` words (first word's position, code) of phrases whose parts pass the filters of their lengths.
+
+    Lengths without a filter pass.
+    """
     words = chunk.codes()
     at, codes = np.arange(len(words)), words
     for length in range(1, level + 1):
         if length > 1:
             # A phrase of this length is one that passed, and one that passed and starts a word later.
-            passed = filters[length - 2].passes(codes)
-            at, codes = at[passed], codes[passed]
-            if not len(at):
-                return
+            if length - 2 < len(frequent):
+                passed = frequent[length - 2].passes(codes)
+                at, codes = at[passed], codes[passed]
             follows = np.flatnonzero((at[1:] == at[:-1] + 1) & chunk.joined[at[1:] + length - 2])
             at = at[follows]
             codes = mix(codes[follows] + words[at + length - 1] * _U(2 * length + 1))
@@ -159,8 +173,9 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[cuts[:-1]], np.add.reduceat(counts.astype(np.int64), cuts[:-1])
 
 
-def frequent_codes(texts: DataFrame, filters: list, level: int, least: int) -> DataFrame:
-    """(code) of the phrases of ``level`` words whose codes come ``least`` times or more; ``filters`` are of shorter ones."""
+def frequent_codes(texts: DataFrame, filters: list, levels: tuple[int, ...], least: int) -> DataFrame:
+    """(code, n) of the phrases of so many words whose codes come ``least`` times or more; ``filters`` are of shorter ones."""
+    nothing = {"code": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)}
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Fields, Fields]]:
         known = [f.value for f in filters]
@@ -168,22 +183,23 @@ def frequent_codes(texts: DataFrame, filters: list, level: int, least: int) -> D
         size = 0
         for batch in batches:
             for chunk in chunks(batch):
-                found = list(_phrases(chunk, known, level))
-                if len(found) == level:
-                    held.append(found[-1][1])
-                    size += len(held[-1])
+                for length, (_, codes) in enumerate(_phrases(chunk, known, max(levels)), 1):
+                    if length in levels:
+                        held.append(codes)
+                        size += len(codes)
                 if size >= HELD:
-                    yield _counted(held), {"code": np.zeros(0, np.int64)}
+                    yield _counted(held), nothing
                     held, size = [], 0
         if size:
-            yield _counted(held), {"code": np.zeros(0, np.int64)}
+            yield _counted(held), nothing
 
     def answers(fields: Fields) -> Fields:
         keys, sums = _summed(fields["key"], fields["n"])
-        return {"code": keys[sums >= least].view(np.int64)}
+        often = sums >= least
+        return {"code": keys[often].view(np.int64), "n": sums[often]}
 
-    row = T.StructType([T.StructField("code", T.LongType())])
-    return by_key(texts, entries, answers, _COUNTED, {"code": "<i8"}, row)
+    row = T.StructType([T.StructField("code", T.LongType()), T.StructField("n", T.LongType())])
+    return by_key(texts, entries, answers, _COUNTED, {"code": "<i8", "n": "<i8"}, row)
 
 
 def _counted(held: list[np.ndarray]) -> Fields:
@@ -191,15 +207,33 @@ def _counted(held: list[np.ndarray]) -> Fields:
     return {"key": keys, "n": counts.astype(np.uint32)}
 
 
+def most_frequent(codes: DataFrame, most: int) -> DataFrame:
+    """The codes with the highest sums, ``most`` at most; codes of equal sums stay or go together."""
+    sums = codes.groupBy("n").count()
+    so_far = F.sum("count").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0))
+    cut = sums.withColumn("so_far", so_far).filter(F.col("so_far") > most).agg(F.max("n")).first()[0]
+    return codes if cut is None else codes.filter(F.col("n") > cut)
+
+
 _PLACES = ("w1", "w2", "w3")
 
 
-def candidates(texts: DataFrame, filters: list) -> DataFrame:
-    """(lang, w1, w2, w3, n): each phrase that passes, once; and a row without words for each language's number of words."""
-    names = ["lang", *_PLACES, "n"]
+def _among(codes: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(codes), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, codes), len(ordered) - 1)] == codes
+
+
+def candidates(texts: DataFrame, filters: list, hot) -> DataFrame:
+    """(lang, w1, w2, w3, n, hot): each phrase that passes, once; and a row without words for each language's number of words.
+
+    Phrases whose codes pass ``hot`` are for the trie and come uncounted; of the others n is the exact count.
+    Of two phrases of a task with one 64-bit code only one is seen.
+    """
+    names = ["lang", *_PLACES, "n", "hot"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [f.value for f in filters]
+        known, chosen = [f.value for f in filters], hot.value
         seen = np.zeros(0, _U)
         total: dict[str, int] = {}
         for batch in batches:
@@ -207,23 +241,25 @@ def candidates(texts: DataFrame, filters: list) -> DataFrame:
                 for k, size in enumerate(np.bincount(chunk.lang, minlength=len(chunk.langs)).tolist()):
                     total[chunk.langs[k]] = total.get(chunk.langs[k], 0) + size
                 langs = pa.array(chunk.langs, pa.string())
-                for length, (at, codes) in enumerate(_phrases(chunk, known, len(known)), 1):
-                    codes, first = np.unique(codes, return_index=True)
-                    new = known[length - 1].passes(codes) & ~np.isin(codes, seen, assume_unique=True)
-                    if not new.any():
-                        continue
-                    seen = np.concatenate((seen, codes[new])) if len(seen) < HELD else codes[new]
-                    at = at[first[new]]
+                for length, (at, codes) in enumerate(_phrases(chunk, known, WORDS), 1):
+                    passed = known[length - 1].passes(codes)
+                    codes, first, counts = np.unique(codes[passed], return_index=True, return_counts=True)
+                    at, for_trie = at[passed][first], chosen.passes(codes)
+                    # What the trie counts is given out once a task, the rest with its counts.
+                    out = ~(for_trie & _among(codes, seen))
+                    new = codes[out & for_trie]
+                    seen = np.sort(np.concatenate((seen, new))) if len(seen) < HELD else new
+                    at, counts = at[out], np.where(for_trie, 0, counts)[out]
                     words = [chunk.words.take(pa.array(at + k)).cast(pa.string()) for k in range(length)]
                     words += [pa.nulls(len(at), pa.string())] * (len(_PLACES) - length)
                     yield pa.RecordBatch.from_arrays(
-                        [langs.take(pa.array(chunk.lang[at])), *words, pa.array(np.zeros(len(at), np.int64))], names)
+                        [langs.take(pa.array(chunk.lang[at])), *words, pa.array(counts), pa.array(for_trie[out])], names)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.string()), *[pa.nulls(len(total), pa.string())] * len(_PLACES),
-             pa.array(list(total.values()), pa.int64())], names)
+             pa.array(list(total.values()), pa.int64()), pa.array([False] * len(total), pa.bool_())], names)
 
-    found = map_batches(texts, run, "lang string, w1 string, w2 string, w3 string, n long")
-    return found.groupBy("lang", *_PLACES).agg(F.sum("n").alias("n"))
+    found = map_batches(texts, run, "lang string, w1 string, w2 string, w3 string, n long, hot boolean")
+    return found.groupBy("lang", *_PLACES, "hot").agg(F.sum("n").alias("n"))
 
 
 class PhraseTrie:
@@ -237,7 +273,7 @@ class PhraseTrie:
         numbers = [pc.index_in(phrases.column("lang"), pa.array(self.langs, pa.string()))]
         numbers += [pc.index_in(c, self.words) for c in columns]
         parts = [digits(pc.fill_null(x, -1).to_numpy().astype(np.int64), self.digits) for x in numbers]
-        sequences = np.column_stack(parts)
+        sequences = np.column_stack(parts).astype(np.int16)
         self.size = len(sequences)
         self.trie = DoubleArray(sequences, (sequences >= 0).sum(axis=1))
         self.ids = phrases.column("id").to_numpy()
@@ -304,33 +340,28 @@ def counted_phrases(
     trie_phrases: int = TRIE_PHRASES,
 ) -> tuple[DataFrame, DataFrame]:
     """((lang, w1, w2, w3, f) of all phrases of 1 to 3 words with ``least`` occurrences, (lang, n) of all words)."""
-    spark = docs.sparkSession
-    context = spark.sparkContext
+    context = docs.sparkSession.sparkContext
     texts = docs.select(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
-    filters: list = []
-    for level in range(1, WORDS + 1):
-        codes = stored(frequent_codes(texts, filters, level, least), f"codes-{level}")
-        filters.append(context.broadcast(filter_of(codes)))
-    found = stored(candidates(texts, filters), "phrases")
-    for sent in filters:
+    short = stored(frequent_codes(texts, [], (1, 2), least), "codes")
+    filters = [context.broadcast(filter_of(short))]
+    filters = [filters[0], filters[0]]
+    long = stored(frequent_codes(texts, filters, (3,), least), "codes")
+    filters.append(context.broadcast(filter_of(long)))
+    hot = context.broadcast(filter_of(most_frequent(short.unionByName(long), trie_phrases)))
+    found = stored(candidates(texts, filters, hot), "phrases").withColumn("id", F.monotonically_increasing_id())
+    for sent in (*filters[1:], hot):
         sent.unpersist()
-    totals = found.filter("w1 is null").select("lang", "n")
-    phrases = found.filter("w1 is not null").drop("n")
-    shards = max(1, -(-phrases.count() // trie_phrases))
-    dealt = stored(phrases.select(
-        F.monotonically_increasing_id().alias("id"), "*",
-        F.pmod(F.xxhash64("lang", *_PLACES), F.lit(shards)).alias("shard")), "tries")
-    counts = None
-    for shard in range(shards):
-        table = dealt.filter(F.col("shard") == shard).drop("shard").orderBy("id").toArrow()
-        trie = context.broadcast(PhraseTrie(table))
-        part = stored(phrase_counts(texts, trie), "counts")
-        trie.unpersist()
-        counts = part if counts is None else counts.unionByName(part)
-    frequent = counts.filter(F.col("f") >= least).join(dealt, "id").select("lang", *_PLACES, "f")
-    return stored(frequent, "frequent"), totals
+    phrases = found.filter("w1 is not null")
+    uncounted = stored(phrases.filter("hot").drop("n", "hot"), "trie")
+    trie = context.broadcast(PhraseTrie(uncounted.toArrow()))
+    counts = stored(phrase_counts(texts, trie), "counts")
+    trie.unpersist()
+    columns = ["lang", *_PLACES, "f"]
+    frequent = uncounted.join(counts, "id").select(columns).unionByName(
+        phrases.filter(~F.col("hot")).withColumnRenamed("n", "f").select(columns)).filter(F.col("f") >= least)
+    return stored(frequent, "frequent"), found.filter("w1 is null").select("lang", "n")
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:

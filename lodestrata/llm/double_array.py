@@ -31,7 +31,8 @@ class DoubleArray:
         node, nodes = np.zeros(n, np.int64), 1
         for level in range(depth):
             rows = np.flatnonzero(lengths > level)
-            links, inverse = np.unique(node[rows] * SYMBOLS + sequences[rows, level], return_inverse=True)
+            links, inverse = np.unique(
+                node[rows] * SYMBOLS + sequences[rows, level], return_inverse=True)
             node[rows] = nodes + inverse
             parents = links // SYMBOLS
             heads = np.flatnonzero(np.append(True, parents[1:] != parents[:-1])[: len(parents)])
