@@ -32,9 +32,9 @@ WORDS, LEAST, TOP, SCALE = 3, 10, 2000, 1_000_000
 COVERED = 50
 UNKNOWN = "und"
 # Phrases of the trie, which the driver builds and a task holds in memory (some 100 bytes each).
-TRIE_PHRASES = 500_000
-# Bits of a filter of frequent codes: 16 MB whatever the input. With more codes it lets more pass.
-FILTER_BITS = 1 << 27
+TRIE_PHRASES = 250_000
+# Bits of a filter of frequent codes: 8 MB whatever the input. With more codes it lets more pass.
+FILTER_BITS = 1 << 26
 # Bytes of text that a task takes apart at once, and codes it holds before it gives them out.
 CHUNK, HELD = 2 << 20, 1 << 20
 _U = np.uint64
@@ -218,10 +218,44 @@ def most_frequent(codes: DataFrame, most: int) -> DataFrame:
 _PLACES = ("w1", "w2", "w3")
 
 
-def _among(codes: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(codes), bool)
-    return ordered[np.minimum(np.searchsorted(ordered, codes), len(ordered) - 1)] == codes
+_FOUND = ["lang", *_PLACES, "n", "hot"]
+
+
+class _Found:
+    """The distinct phrases that a task has found, by their codes, with their counts."""
+
+    def __init__(self) -> None:
+        self.codes = np.zeros(0, _U)
+        self.slots = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+        self.hot: list[np.ndarray] = []
+        self.rows: list[list[pa.Array]] = []
+
+    def add(self, chunk: Chunk, length: int, at: np.ndarray, codes: np.ndarray, chosen: Filter) -> None:
+        codes, first, counts = np.unique(codes, return_index=True, return_counts=True)
+        place = np.searchsorted(self.codes, codes)
+        known = place < len(self.codes)
+        known[known] = self.codes[place[known]] == codes[known]
+        self.counts[self.slots[place[known]]] += counts[known]
+        new = ~known
+        at, n = at[first[new]], len(self.counts)
+        words = [chunk.words.take(pa.array(at + k)) for k in range(length)]
+        words += [pa.nulls(len(at), pa.binary())] * (len(_PLACES) - length)
+        self.rows.append([pa.array(chunk.langs, pa.string()).take(pa.array(chunk.lang[at])), *words])
+        self.hot.append(chosen.passes(codes[new]))
+        self.codes = np.insert(self.codes, place[new], codes[new])
+        self.slots = np.insert(self.slots, place[new], n + np.arange(len(at)))
+        self.counts = np.concatenate((self.counts, counts[new]))
+
+    def given_out(self) -> Iterator[pa.RecordBatch]:
+        at = 0
+        for (lang, *words), hot in zip(self.rows, self.hot):
+            # What is for the trie is counted there.
+            counts = np.where(hot, 0, self.counts[at : at + len(hot)])
+            at += len(hot)
+            yield pa.RecordBatch.from_arrays(
+                [lang, *[w.cast(pa.string()) for w in words], pa.array(counts), pa.array(hot)], _FOUND)
+        self.__init__()
 
 
 def candidates(texts: DataFrame, filters: list, hot) -> DataFrame:
@@ -230,36 +264,27 @@ def candidates(texts: DataFrame, filters: list, hot) -> DataFrame:
     Phrases whose codes pass ``hot`` are for the trie and come uncounted; of the others n is the exact count.
     Of two phrases of a task with one 64-bit code only one is seen.
     """
-    names = ["lang", *_PLACES, "n", "hot"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, chosen = [f.value for f in filters], hot.value
-        seen = np.zeros(0, _U)
+        found = _Found()
         total: dict[str, int] = {}
         for batch in batches:
             for chunk in chunks(batch):
                 for k, size in enumerate(np.bincount(chunk.lang, minlength=len(chunk.langs)).tolist()):
                     total[chunk.langs[k]] = total.get(chunk.langs[k], 0) + size
-                langs = pa.array(chunk.langs, pa.string())
                 for length, (at, codes) in enumerate(_phrases(chunk, known, WORDS), 1):
                     passed = known[length - 1].passes(codes)
-                    codes, first, counts = np.unique(codes[passed], return_index=True, return_counts=True)
-                    at, for_trie = at[passed][first], chosen.passes(codes)
-                    # What the trie counts is given out once a task, the rest with its counts.
-                    out = ~(for_trie & _among(codes, seen))
-                    new = codes[out & for_trie]
-                    seen = np.sort(np.concatenate((seen, new))) if len(seen) < HELD else new
-                    at, counts = at[out], np.where(for_trie, 0, counts)[out]
-                    words = [chunk.words.take(pa.array(at + k)).cast(pa.string()) for k in range(length)]
-                    words += [pa.nulls(len(at), pa.string())] * (len(_PLACES) - length)
-                    yield pa.RecordBatch.from_arrays(
-                        [langs.take(pa.array(chunk.lang[at])), *words, pa.array(counts), pa.array(for_trie[out])], names)
+                    found.add(chunk, length, at[passed], codes[passed], chosen)
+                if len(found.counts) >= HELD:
+                    yield from found.given_out()
+        yield from found.given_out()
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.string()), *[pa.nulls(len(total), pa.string())] * len(_PLACES),
-             pa.array(list(total.values()), pa.int64()), pa.array([False] * len(total), pa.bool_())], names)
+             pa.array(list(total.values()), pa.int64()), pa.array([False] * len(total), pa.bool_())], _FOUND)
 
-    found = map_batches(texts, run, "lang string, w1 string, w2 string, w3 string, n long, hot boolean")
-    return found.groupBy("lang", *_PLACES, "hot").agg(F.sum("n").alias("n"))
+    rows = map_batches(texts, run, "lang string, w1 string, w2 string, w3 string, n long, hot boolean")
+    return rows.groupBy("lang", *_PLACES, "hot").agg(F.sum("n").alias("n"))
 
 
 class PhraseTrie:

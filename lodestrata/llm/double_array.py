@@ -42,7 +42,7 @@ class DoubleArray:
         wide = sum(int((sizes >= _LARGE).sum()) for *_, sizes in families)
         # State 0 and what lies below the first symbols stay free, and as much at the end.
         self._at = SYMBOLS
-        size = 2 * SYMBOLS + wide * SYMBOLS + 2 * nodes
+        size = (3 + wide) * SYMBOLS + 2 * nodes
         self.base = np.zeros(size, np.int32)
         self.check = np.full(size, -1, np.int32)
         self.accept = np.full(size, -1, np.int32)
@@ -75,7 +75,7 @@ class DoubleArray:
             count = sizes[now]
             family = np.repeat(np.arange(len(now)), count)
             links = np.repeat(heads[now] - np.cumsum(count) + count, count) + np.arange(len(family))
-            slots = rng.integers(SYMBOLS, len(self.base) - 2 * SYMBOLS, len(now))[family] + symbols[links]
+            slots = rng.integers(SYMBOLS, len(self.base) - SYMBOLS, len(now))[family] + symbols[links]
             self._claim[slots] = family
             refused = np.bincount(
                 family[(self._claim[slots] != family) | self._used[slots]], minlength=len(now)) > 0

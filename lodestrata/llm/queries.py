@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.llm import (
-    collocations, cover_tree, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sentencepiece_codec as codec,
-    substring_dedup, url_filter,
+    centroids, collocations, cover_tree, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality,
+    sentencepiece_codec as codec, substring_dedup, token_files, url_filter,
 )
 from lodestrata.llm.tables import table
 
@@ -63,11 +63,22 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.token_index(table(spark, sf_dir, "documents"), tokenizer).drop("file")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_quality_classifier, op2_license_scan, op3_exact_dedup, op4_sentencepiece, op5_ngram_jaccard,
         op6_embedding_near_dedup, op7_line_dedup, op8_mixing, op9_url_filter, op10_suffix_array_dedup,
-        op11_phrase_collocations,
+        op11_phrase_collocations, op12_token_ids, op13_centroid_clustering,
     )
 }
 ORACLE = {

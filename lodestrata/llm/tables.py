@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Buckets:
+    """Written tables in buckets of one key, so that joins of them on the key shuffle nothing.
+
+    Their names leave the catalog at the end, their files lie in the shared folder.
+    """
+
+    def __init__(self, spark: SparkSession, key: str) -> None:
+        self.spark, self.key = spark, key
+        self.count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.names: list[str] = []
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        name = f"lodestrata_{label}_{uuid.uuid4().hex}"
+        self.names.append(name)
+        df.write.bucketBy(self.count, self.key).sortBy(self.key).option(
+            "path", work_dir(self.spark, label)).format("parquet").saveAsTable(name)
+        return self.spark.table(name)
+
+    def __enter__(self) -> Buckets:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def numbers_rows(df: DataFrame, id_col: str) -> bool:
     """Whether the ids are whole numbers without nulls or repetitions."""
     if not isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
