@@ -18,12 +18,12 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,20 +33,39 @@ from lodestrata.llm.tables import stored
 from lodestrata.session import work_dir
 
 BLOCK = 4096
-# Ids of a file on average: 8 MB at 16 bits.
-FILE_IDS = 1 << 22
+# Bytes of the texts whose ids make a file.
+FILE_BYTES = 1 << 24
 END = 1
 MAGIC, VERSION = b"LSTOKENS", 1
 # Magic, version, bits, block size, file number, documents, ids, blocks, offset of the index, 0 or 1 for a line feed's sake.
 TRAILER = struct.Struct("<8sIIIIQQQQ")
 NULL_ID = -(1 << 63)
-# Distinct words whose ids a worker remembers, and how long they may be.
-REMEMBERED, LONGEST = 200_000, 64
+# Distinct words whose ids a worker remembers, and how many bytes of new ones it encodes at once.
+REMEMBERED, _JOINED = 400_000, 1 << 16
+# Fixed value: a special token of the tokenizer, which parts texts and is no part of their ids.
+PARTING = "<|endoftext|>"
 # The bytes at which a text may be parted without a change to its ids.
 _BLANKS = b" \t\n\r"
 _IS_BLANK = np.zeros(256, bool)
 _IS_BLANK[list(_BLANKS)] = True
-_TEXT_BYTES = 1 << 20
+_TEXT_BYTES = 4 << 20
+
+
+class _Known:
+    """Words and their ids, side by side."""
+
+    def __init__(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.words, self.ids, self.sizes = words, ids, sizes
+        self.starts = np.cumsum(sizes) - sizes
+
+    def joined(self, other: _Known) -> _Known:
+        return _Known(pa.concat_arrays([self.words, other.words]), np.concatenate((self.ids, other.ids)),
+                      np.concatenate((self.sizes, other.sizes)))
+
+    def taken(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words ``at``, one after the other, and how many each has."""
+        sizes = self.sizes[at]
+        return self.ids[np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())], sizes
 
 
 class Encoder:
@@ -56,20 +75,42 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end = Tokenizer.from_str(model), end
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def _ids(self, words: list[bytes]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
-        fresh: dict[bytes, np.ndarray] = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            fresh.update((w, np.array(e.ids, np.uint32)) for w, e in zip(part, found))
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        result = [self.known[w] if w in self.known else fresh[w] for w in words]
-        self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
-        return result
+        self.parting = self.tokenizer.token_to_id(PARTING)
+        self.known = _Known(pa.array([], pa.binary()), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def _encoded(self, words: pa.Array) -> _Known:
+        """Many words at once, with a special token between them; words that may hold such a token alone."""
+        ids, sizes = [], np.zeros(len(words), np.int64)
+        lengths = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False))
+        texts = words.cast(pa.string()).to_pylist()
+        at = 0
+        while at < len(texts):
+            done = int(lengths[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(lengths, done + _JOINED, "right")))
+            part = texts[at:to]
+            if self.parting is None or any("<" in w for w in part):
+                found = self.tokenizer.encode_batch(part, add_special_tokens=False)
+                ids += [np.array(e.ids, np.uint32) for e in found]
+                sizes[at:to] = [len(e.ids) for e in found]
+            else:
+                flat = np.array(self.tokenizer.encode(PARTING.join(part), add_special_tokens=False).ids, np.uint32)
+                between = flat == self.parting
+                ids.append(flat[~between])
+                sizes[at:to] = np.diff(np.concatenate(([-1], np.flatnonzero(between), [len(flat)]))) - 1
+            at = to
+        return _Known(words, np.concatenate([np.zeros(0, np.uint32), *ids]), sizes)
+
+    def _vocabulary(self, words: pa.Array) -> _Known:
+        """The ids of distinct words, the end id after the last."""
+        known = pc.index_in(words, self.known.words)
+        fresh = self._encoded(words.filter(pc.is_null(known)))
+        if len(self.known.words) + len(fresh.words) > REMEMBERED:
+            own = known.drop_null().to_numpy()
+            ids, sizes = self.known.taken(own)
+            self.known = _Known(self.known.words.take(pa.array(own)), ids, sizes)
+        self.known = self.known.joined(fresh)
+        ids, sizes = self.known.taken(pc.index_in(words, self.known.words).to_numpy())
+        return _Known(words, np.append(ids, np.uint32(self.end)), np.append(sizes, 1))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text, with the end id)."""
@@ -85,17 +126,12 @@ class Encoder:
         offsets = np.append(np.cumsum(inside, dtype=np.int32)[starts] - 1, inside.sum()).astype(np.int32)
         words = pa.Array.from_buffers(
             pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
-        # The end id is one more word, after the last of each text.
-        vocabulary = [*self._ids(words.dictionary.to_pylist()), np.array([self.end], np.uint32)]
+        vocabulary = self._vocabulary(words.dictionary)
         text = np.searchsorted(cuts, starts, "right") - 1
         per_text = np.bincount(text, minlength=len(texts))
-        order = np.insert(words.indices.to_numpy(), np.cumsum(per_text), len(vocabulary) - 1) if len(texts) else \
-            np.zeros(0, np.int64)
-        sizes = np.array([len(x) for x in vocabulary], np.int64)
-        flat = np.concatenate(vocabulary)
-        first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        taken = sizes[order]
-        ids = flat[np.repeat(first[order] - np.cumsum(taken) + taken, taken) + np.arange(taken.sum())]
+        # The end id is one more word, after the last of each text.
+        order = np.insert(words.indices.to_numpy().astype(np.int64), np.cumsum(per_text), len(words.dictionary))
+        ids, taken = vocabulary.taken(order)
         ends = np.cumsum(per_text + 1)
         counted = np.concatenate(([0], np.cumsum(taken)))[ends]
         return ids, np.diff(np.concatenate(([0], counted)))
@@ -120,58 +156,57 @@ def _model(path: str) -> tuple[str, int]:
     return model, Tokenizer.from_str(model).get_vocab_size()
 
 
-def encoded(docs: DataFrame, tokenizer: str, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, row, ids, n): the packed ids of each row; ``row`` tells rows of equal ids apart."""
+def _bounds(rows: DataFrame, file_bytes: int) -> list[tuple[int, int]]:
+    """The first (id, row) of each file; only these two numbers of each row are shuffled, and a pair for each file reaches the driver."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    dealt = rows.select("id", "row").repartitionByRange(max(1, -(-size // file_bytes)), "id", "row")
+    firsts = dealt.groupBy(F.spark_partition_id().alias("file")).agg(F.min(F.struct("id", "row")).alias("first"))
+    return sorted((r.first.id, r.first.row) for r in firsts.select("first").collect())
+
+
+def write(
+    docs: DataFrame, path: str, tokenizer: str, end: int = END, id_col: str = "doc_id", text_col: str = "text",
+    file_bytes: int = FILE_BYTES,
+) -> None:
+    """Writes the ids of all documents to files under ``path``, which must not exist yet.
+
+    Texts are encoded where they lie; only packed ids are shuffled, into ranges of ids
+    of equally many documents, with ``file_bytes`` of text on average.
+    Null ids come first, rows of equal ids by a digest of the text. A null text has the end id only.
+    """
     model, size = _model(tokenizer)
     bits = bits_for(max(size, end + 1))
     rows = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("row"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(F.col(text_col)).alias("row"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    firsts = _bounds(rows, file_bytes)
+    files = max(1, len(firsts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model, end)
         for batch in batches:
+            numbers = [max(0, bisect_right(firsts, key) - 1) for key in zip(*(batch.column(k).to_pylist() for k in (0, 1)))]
             texts = batch.column(2)
             for at, to in _slices(texts):
                 ids, counts = encoder.encode(texts.slice(at, to - at))
                 parts = np.split(ids, np.cumsum(counts)[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, to - at), batch.column(1).slice(at, to - at),
-                     pa.array([pack(p, bits) for p in parts], pa.binary()), pa.array(counts, pa.int64())],
-                    ["id", "row", "ids", "n"])
-
-    return map_batches(rows, run, "id long, row long, ids binary, n long")
-
-
-def write(
-    docs: DataFrame, path: str, tokenizer: str, end: int = END, id_col: str = "doc_id", text_col: str = "text",
-    file_ids: int = FILE_IDS,
-) -> None:
-    """Writes the ids of all documents to files under ``path``, which must not exist yet.
-
-    Texts are encoded where they lie; only packed ids are shuffled, into ranges of ids
-    with about ``file_ids`` ids each. A text longer than that makes its file longer.
-    Null ids come first, rows of equal ids by a digest of the text. A null text has the end id only.
-    """
-    spark = docs.sparkSession
-    _, size = _model(tokenizer)
-    bits = bits_for(max(size, end + 1))
-    rows = stored(encoded(docs, tokenizer, end, id_col, text_col), "encoded")
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    files = max(1, -(-total // file_ids))
-    order = [F.col("id").asc_nulls_first(), "row", "n"]
-    dealt = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+                    [pa.array(numbers[at:to], pa.int32()), batch.column(0).slice(at, to - at),
+                     batch.column(1).slice(at, to - at), pa.array([pack(p, bits) for p in parts], pa.binary()),
+                     pa.array(counts, pa.int64())], ["file", "id", "row", "ids", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = _FileWriter(bits)
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer, number = _FileWriter(bits), 0
         for batch in batches:
-            for key, ids, n in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
+            number = batch.column(0)[0].as_py()
+            for key, ids, n in zip(batch.column(1).to_pylist(), batch.column(3), batch.column(4).to_pylist()):
                 yield from _lines(writer.add(key, unpack(ids.as_buffer(), n, bits)))
         if writer.keys:
-            yield from _lines(writer.close(TaskContext.get().partitionId()))
+            yield from _lines(writer.close(number))
 
-    lines = map_batches(dealt, run, "line binary")
-    lines.select(F.col("line").cast("string").alias("value")).write.text(path)
+    encoded = map_batches(rows, encode, "file int, id long, row long, ids binary, n long")
+    dealt = encoded.repartitionById(files, "file").sortWithinPartitions("id", "row", "n")
+    map_batches(dealt, lines, "line binary").select(F.col("line").cast("string").alias("value")).write.text(path)
 
 
 def _lines(parts: Sequence[bytes]) -> Iterator[pa.RecordBatch]:
@@ -191,9 +226,9 @@ class _FileWriter:
         self.held: list[np.ndarray] = []
         self.waiting = 0
 
-    def add(self, key: int | None, ids: np.ndarray) -> list[bytes]:
+    def add(self, key: int, ids: np.ndarray) -> list[bytes]:
         self.n += len(ids)
-        self.keys.append(NULL_ID if key is None else key)
+        self.keys.append(key)
         self.ends.append(self.n)
         self.held.append(ids)
         self.waiting += len(ids)
@@ -292,7 +327,7 @@ def manifest(documents: DataFrame) -> DataFrame:
 
 def token_index(
     docs: DataFrame, tokenizer: str, end: int = END, id_col: str = "doc_id", text_col: str = "text",
-    path: str | None = None, file_ids: int = FILE_IDS,
+    path: str | None = None, file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, file): writes the documents' ids and tells from the files where each lies.
 
@@ -302,7 +337,7 @@ def token_index(
     """
     spark = docs.sparkSession
     path = path or work_dir(spark, "tokens")
-    write(docs, path, tokenizer, end, id_col, text_col, file_ids)
+    write(docs, path, tokenizer, end, id_col, text_col, file_bytes)
     documents = stored(read(spark, path), "token-documents")
     starts = manifest(documents).select("file", "file_start")
     return documents.join(starts, "file").select(

@@ -135,7 +135,7 @@ def test_token_edges(spark, docs, empty, tmp_path):
     df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(special, "doc_id long, text string"))
     path = str(tmp_path / "ids")
     found = token_files.token_index(df.withColumns({c: F.lit(1) for c in ("id", "row", "ids", "n", "file")}),
-                                    MODEL, path=path, file_ids=2000)
+                                    MODEL, path=path, file_bytes=8000)
     assert found.select("file").distinct().count() > 3
     got = [tuple(r)[:4] for r in found.orderBy("start").collect()]
     starts = dict.fromkeys(s for _, s, _, _ in got)
