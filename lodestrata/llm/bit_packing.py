@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
+# Widths of whole numbers of bytes need no shifts.
+_WHOLE = {8: "u1", 16: "<u2", 32: "<u4"}
+
 
 def bits_for(size: int) -> int:
     """The least bits that hold each number below ``size``."""
@@ -17,6 +20,8 @@ def packed_size(count: int, bits: int) -> int:
 def pack(numbers: np.ndarray, bits: int) -> bytes:
     """Number ``i`` takes bits ``i * bits`` and on, the low ones first; the last byte is filled with zeros."""
     n = len(numbers)
+    if bits in _WHOLE and (not n or int(numbers.max()) >> bits == 0):
+        return numbers.astype(_WHOLE[bits]).tobytes()
     groups = np.zeros((-(-n // 8), 8), np.uint64)
     groups.reshape(-1)[:n] = numbers
     if n and int(groups.max()) >> bits:
@@ -33,6 +38,8 @@ def pack(numbers: np.ndarray, bits: int) -> bytes:
 
 def unpack(data: bytes | memoryview, count: int, bits: int) -> np.ndarray:
     """The first ``count`` numbers."""
+    if bits in _WHOLE:
+        return np.frombuffer(data, _WHOLE[bits], count).astype(np.uint32)
     groups = -(-count // 8)
     own = np.zeros(groups * bits, np.uint8)
     found = np.frombuffer(data, np.uint8, packed_size(count, bits))

@@ -20,6 +20,7 @@ import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +41,8 @@ MAGIC, VERSION = b"LSTOKENS", 1
 # Magic, version, bits, block size, file number, documents, ids, blocks, offset of the index, 0 or 1 for a line feed's sake.
 TRAILER = struct.Struct("<8sIIIIQQQQ")
 NULL_ID = -(1 << 63)
-# Distinct words whose ids a worker remembers, and how many bytes of new ones it encodes at once.
-REMEMBERED, _JOINED = 400_000, 1 << 16
-# Fixed value: a special token of the tokenizer, which parts texts and is no part of their ids.
-PARTING = "<|endoftext|>"
+# Distinct words whose ids a worker remembers, and how many new ones it encodes at once.
+REMEMBERED, _AT_ONCE = 400_000, 4096
 # The bytes at which a text may be parted without a change to its ids.
 _BLANKS = b" \t\n\r"
 _IS_BLANK = np.zeros(256, bool)
@@ -75,30 +74,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end = Tokenizer.from_str(model), end
-        self.parting = self.tokenizer.token_to_id(PARTING)
         self.known = _Known(pa.array([], pa.binary()), np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     def _encoded(self, words: pa.Array) -> _Known:
-        """Many words at once, with a special token between them; words that may hold such a token alone."""
-        ids, sizes = [], np.zeros(len(words), np.int64)
-        lengths = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False))
-        texts = words.cast(pa.string()).to_pylist()
-        at = 0
-        while at < len(texts):
-            done = int(lengths[at - 1]) if at else 0
-            to = max(at + 1, int(np.searchsorted(lengths, done + _JOINED, "right")))
-            part = texts[at:to]
-            if self.parting is None or any("<" in w for w in part):
-                found = self.tokenizer.encode_batch(part, add_special_tokens=False)
-                ids += [np.array(e.ids, np.uint32) for e in found]
-                sizes[at:to] = [len(e.ids) for e in found]
-            else:
-                flat = np.array(self.tokenizer.encode(PARTING.join(part), add_special_tokens=False).ids, np.uint32)
-                between = flat == self.parting
-                ids.append(flat[~between])
-                sizes[at:to] = np.diff(np.concatenate(([-1], np.flatnonzero(between), [len(flat)]))) - 1
-            at = to
-        return _Known(words, np.concatenate([np.zeros(0, np.uint32), *ids]), sizes)
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), _AT_ONCE):
+            part = words.slice(at, _AT_ONCE).cast(pa.string()).to_pylist()
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        return _Known(words, np.concatenate(ids), np.concatenate(sizes))
 
     def _vocabulary(self, words: pa.Array) -> _Known:
         """The ids of distinct words, the end id after the last."""
