@@ -23,14 +23,25 @@ def steady(value: Column, digits: int) -> Column:
     return F.round(F.round(value, digits + 6), digits)
 
 
+def rounded_ratio(part: Column, whole: Column, digits: int = 2) -> Column:
+    """A ratio of whole numbers as a double, rounded once, halves away from zero; NULL when there is no whole.
+
+    The division is one of whole numbers, so no digit is lost before the rounding.
+    """
+    part, whole = part.cast("decimal(28,0)"), whole.cast("decimal(18,0)")
+    doubled = F.abs(part) * F.lit(2 * 10**digits).cast("decimal(9,0)")
+    steps = F.call_function("div", doubled + whole, whole * F.lit(2).cast("decimal(1,0)"))
+    return F.when(whole > 0, F.signum(part.cast("double")) * steps.cast("double") / F.lit(float(10**digits)))
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """``part`` of ``whole`` in percent, as a double; NULL when there is no whole."""
-    return F.round(F.try_divide(part.cast("double") * 100.0, whole), digits)
+    """``part`` of ``whole`` in percent, both whole numbers, as a double; NULL when there is no whole."""
+    return rounded_ratio(part.cast("long") * 100, whole.cast("long"), digits)
 
 
-def distinct_count(column: Column, approximate: bool = False) -> Column:
-    """Exact in batch; streams only allow the approximate form."""
-    return F.approx_count_distinct(column) if approximate else F.count_distinct(column)
+def amount(cents: str) -> Column:
+    """Whole cents as an amount of money."""
+    return (F.col(cents).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(20,2)")
 
 
 def quotient(total: Column, count: Column, digits: int = 2) -> Column:

@@ -14,6 +14,7 @@ from lodestrata.operators import (
 )
 from lodestrata.operators.skew import HotKeys
 from lodestrata.plans.testviews import table, view
+from lodestrata.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,6 +130,28 @@ def driver_perf_approx(spark, sf):
         "driver_key", *counts, (within[0] & within[1] & within[2]).alias("within_error"))
 
 
+def checked_counts(streamed: DataFrame, exact: DataFrame, keys: list[str], counts) -> DataFrame:
+    """``streamed`` with the exact counts, and whether its own lie within three times their standard error (5 %)."""
+    wanted = exact.select(*keys, F.struct(*counts).alias("exact"))
+    both = streamed.join(wanted, keys)
+    within = F.lit(True)
+    for c in counts:
+        within = within & (F.abs(F.col(c) - F.col(f"exact.{c}")) <= F.greatest(F.lit(1.0), 0.05 * F.col(f"exact.{c}")))
+    return both.withColumn("within_error", within).withColumns({c: F.col(f"exact.{c}") for c in counts}).drop("exact")
+
+
+@query
+def restaurant_perf_hour_merged(spark, sf):
+    """Hours put together from stored windows of ten minutes, customers and drivers by their sketches."""
+    path = work_dir(spark, "windows")
+    performance.restaurant_windows(statuses(spark, sf)).write.parquet(path)
+    hours = performance.widened(spark.read.parquet(path), "1 hour")
+    return checked_counts(
+        performance.restaurant_figures(performance.estimated(hours, performance.RESTAURANT_COUNTS)),
+        performance.restaurant_performance(statuses(spark, sf), window="1 hour"),
+        ["restaurant_key", "window_start"], performance.RESTAURANT_COUNTS)
+
+
 @query
 def driver_leaderboard(spark, sf):
     board = performance.driver_performance(statuses(spark, sf)).select(

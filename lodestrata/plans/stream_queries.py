@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from lodestrata.operators import change_feed as cf, order_status as os_, performance
 from lodestrata.plans.oracle import ORACLE, HISTORY, build
 from lodestrata.plans.queries import (
-    CHANGE_COLUMNS, CHANGE_RULES, QUERIES, end_as_double, query,
+    CHANGE_COLUMNS, CHANGE_RULES, QUERIES, checked_counts, end_as_double, query, statuses as batch_statuses,
 )
 from lodestrata.plans.testviews import VIEWS, table, view
 from lodestrata.session import work_dir
 from lodestrata.sources import alerts, copy_into as loading, evolution, json_files, quarantine
 from lodestrata.sources.tables import append_stream, finish, read_table, stream_table
-from lodestrata.streaming.aggregates import maintain_latest, maintain_running
-from lodestrata.streaming.change_tables import CurrentTable, HistoryTable, maintain
-from lodestrata.streaming.keyed_table import KeyedTable
+from lodestrata.streaming.change_tables import HistoryTable, maintain
+from lodestrata.streaming.served import CurrentState, ServedState
 
 FLUSH_USER = -1
 _BATCH = frozenset(QUERIES)
@@ -90,48 +89,49 @@ def order_status_stream(spark, sf):
 
 @query
 def restaurant_perf_10min_stream(spark, sf):
-    """Join and windows in one stream; its approximate counts are not compared."""
+    """Join and windows in one stream; its sketches are compared with exact counts."""
     folder = work_dir(spark, "restaurant-windows")
     streams = EventStreams(spark, sf, folder)
     rows = streams.run(
-        lambda: performance.restaurant_performance(streams.statuses(), approximate=True),
-        f"{folder}/windows")
-    return rows.filter(F.col("restaurant_key") >= 0).drop("unique_customers", "unique_drivers")
+        lambda: performance.restaurant_windows(streams.statuses()), f"{folder}/windows")
+    windows = performance.estimated(rows.filter(F.col("restaurant_key") >= 0), performance.RESTAURANT_COUNTS)
+    return checked_counts(
+        performance.restaurant_figures(windows), performance.restaurant_performance(batch_statuses(spark, sf)),
+        ["restaurant_key", "window_start"], performance.RESTAURANT_COUNTS)
 
 
-def _running(spark, sf, label, keys, metrics):
+def _served(spark, sf, label, keys, parts, rows=lambda rows: rows):
+    """The state of a stream over the order status table."""
     folder = work_dir(spark, label)
     source = stream_table(spark, _silver(spark, sf, folder))
-    totals = KeyedTable(f"{folder}/totals", keys, parts=8)
-    finish(maintain_running(metrics(_real(source)), totals, f"{folder}/totals-checkpoint"))
-    return totals.rows(spark).drop("_batch")
+    state = ServedState(f"{folder}/{label}-checkpoint", keys, parts)
+    finish(state.maintain(rows(_real(source))))
+    return state.read(spark)
 
 
 @query
 def driver_perf_stream(spark, sf):
-    """Running totals; the approximate counts are not compared."""
-    return _running(
-        spark, sf, "driver-totals", ["driver_key"],
-        lambda rows: performance.driver_performance(rows, approximate=True),
-    ).drop("total_deliveries", "restaurants_served", "customers_served")
+    """Running totals in the stream's state; its sketches are compared with exact counts."""
+    totals = _served(spark, sf, "driver-totals", {"driver_key": F.col("driver_key")}, performance.driver_parts())
+    return checked_counts(
+        performance.driver_figures(performance.estimated(totals, performance.DRIVER_COUNTS)),
+        performance.driver_performance(batch_statuses(spark, sf)), ["driver_key"], performance.DRIVER_COUNTS)
 
 
 @query
 def delivery_buckets_stream(spark, sf):
-    return _running(spark, sf, "delay-buckets", ["time_bucket"],
-                    performance.delivery_time_distribution)
+    return performance.bucket_figures(_served(
+        spark, sf, "delay-buckets", {"time_bucket": performance.time_bucket()}, performance.parts(),
+        performance.with_delay))
 
 
 @query
 def order_latest_status_stream(spark, sf):
-    folder = work_dir(spark, "latest-status")
-    source = stream_table(spark, _silver(spark, sf, folder))
-    latest = KeyedTable(f"{folder}/latest", ["order_id"], parts=8)
-    finish(maintain_latest(_real(source), latest, ["status_event_time", "order_event_time"],
-                           f"{folder}/latest-checkpoint"))
-    return latest.rows(spark).select(
-        "order_id", "current_status", "status_event_time",
-        F.round("delivery_time_minutes", 4).alias("delivery_time_minutes"), "event_severity")
+    newest = F.struct("status_event_time", "order_event_time", "current_status", "delivery_time_minutes", "event_severity")
+    found = _served(spark, sf, "latest-status", {"order_id": F.col("order_id")}, {"newest": F.max(newest)})
+    return found.select(
+        "order_id", "newest.current_status", "newest.status_event_time",
+        F.round("newest.delivery_time_minutes", 4).alias("delivery_time_minutes"), "newest.event_severity")
 
 
 @query
@@ -161,9 +161,9 @@ def _change_stream(spark, sf, folder):
 @query
 def scd1_stream(spark, sf):
     folder = work_dir(spark, "scd1")
-    current = CurrentTable(f"{folder}/current", CHANGE_RULES, parts=8)
-    finish(maintain(_change_stream(spark, sf, folder), current, f"{folder}/checkpoint"))
-    return current.read(spark).drop("_batch")
+    current = CurrentState(f"{folder}/checkpoint", CHANGE_RULES, CHANGE_COLUMNS)
+    finish(current.maintain(_change_stream(spark, sf, folder)))
+    return current.read(spark)
 
 
 @query
@@ -258,10 +258,8 @@ def _outer(columns: str, text: str) -> str:
 
 
 ORACLE["order_status_stream"] = ORACLE["order_status_interval"]
-ORACLE["restaurant_perf_10min_stream"] = _outer(
-    "* EXCLUDE (unique_customers, unique_drivers)", ORACLE["restaurant_perf_10min"])
-ORACLE["driver_perf_stream"] = _outer(
-    "* EXCLUDE (total_deliveries, restaurants_served, customers_served)", ORACLE["driver_perf"])
+ORACLE["restaurant_perf_10min_stream"] = _outer("*, true AS within_error", ORACLE["restaurant_perf_10min"])
+ORACLE["driver_perf_stream"] = _outer("*, true AS within_error", ORACLE["driver_perf"])
 ORACLE["delivery_buckets_stream"] = ORACLE["delivery_buckets"]
 ORACLE["order_latest_status_stream"] = ORACLE["order_latest_status"]
 ORACLE["alert_messages"] = _outer(

@@ -12,7 +12,8 @@ from lodestrata.plans.layers import MAX_BYTES, Layers
 from lodestrata.sources.evolution import parse_rescuing, read_lines
 from lodestrata.sources.schemas import DELIVERY_CHANGES, PROFILE_CHANGES
 from lodestrata.sources.tables import AVAILABLE_NOW
-from lodestrata.streaming.change_tables import CurrentTable, HistoryTable, maintain
+from lodestrata.streaming.change_tables import HistoryTable, maintain
+from lodestrata.streaming.served import CurrentState
 
 TRACKED = ("email", "delivery_address", "city", "first_name", "last_name", "job")
 CONTROL = ("operation", "sequenceNum", "dt_current_timestamp", "source_rank")
@@ -37,12 +38,18 @@ def run(spark: SparkSession, source: str, target: str, *,
              for rank, name in enumerate(FEEDS)]
     layers.append("silver_users_staging", cf.union_feeds(*feeds, columns=COLUMNS, keys=["cpf"]))
 
-    current = CurrentTable(layers.path("silver_users_current"), RULES, parts)
+    staging, held = layers.stream("silver_users_staging"), current(layers)
+    layers.settle(held.maintain(staging, trigger or AVAILABLE_NOW))
     history = HistoryTable(layers.path("silver_users_history"), RULES, parts=parts, width=width)
-    for name, table in (("silver_users_current", current), ("silver_users_history", history)):
-        layers.settle(maintain(layers.stream("silver_users_staging"), table,
-                               layers.checkpoint(name), trigger or AVAILABLE_NOW))
-    layers.refresh("gold_user_demographics", users.user_demographics(
-        current.read(spark), one_row_per_user=True))
-    layers.refresh("gold_change_audit", cf.version_audit(history.read(spark), ["cpf"]))
+    layers.settle(maintain(staging, history, layers.checkpoint("silver_users_history"), trigger or AVAILABLE_NOW))
+    users_now, versions = held.read(spark), history.read(spark)
+    if users_now is not None:
+        layers.refresh("gold_user_demographics", users.user_demographics(users_now, one_row_per_user=True))
+    if versions is not None:
+        layers.refresh("gold_change_audit", cf.version_audit(versions, ["cpf"]))
     return layers
+
+
+def current(layers: Layers) -> CurrentState:
+    """The current users: the state of their stream."""
+    return CurrentState(layers.checkpoint("silver_users_current"), RULES, COLUMNS)

@@ -1,4 +1,4 @@
-"""Current state and history kept up to date by a stream of change events."""
+"""History kept up to date by a stream of change events."""
 
 from __future__ import annotations
 
@@ -15,22 +15,6 @@ from lodestrata.sources.tables import AVAILABLE_NOW
 from lodestrata.streaming.keyed_table import OPEN, PART, RANGE, KeyedTable
 
 
-class CurrentTable:
-    """The winning event of each key. Deletes stay, so late events cannot undo them."""
-
-    def __init__(self, path: str, rules: cf.ChangeRules, parts: int = 64) -> None:
-        self.rules = rules
-        self.events = KeyedTable(path, rules.keys, parts=parts)
-
-    def update(self, batch: DataFrame, batch_id: int) -> None:
-        winners = cf.last_events(batch, self.rules)
-        self.events.merge(winners, batch_id, lambda rows: cf.last_events(rows, self.rules))
-
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        winners = self.events.rows(spark)
-        return None if winners is None else cf.current_rows(winners, self.rules)
-
-
 class HistoryTable:
     """All versions of each key.
 
@@ -129,7 +113,7 @@ class HistoryTable:
         return kept.unionByName(new.select(*near.columns)), folders
 
 
-def maintain(events: DataFrame, table: CurrentTable | HistoryTable, checkpoint: str,
+def maintain(events: DataFrame, table: HistoryTable, checkpoint: str,
              trigger: Mapping[str, object] = AVAILABLE_NOW) -> StreamingQuery:
     """Apply a stream of change events to a table."""
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from lodestrata.plans import datasets, deliveries, realtime, restaurants, users_batch, users_stream
-from lodestrata.streaming.change_tables import CurrentTable
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -58,9 +57,11 @@ def test_realtime_job(spark, rows, tmp_path):
     windows = rows(layers.read("gold_restaurant_performance"), "window_start", "order_count",
                    "delayed_orders")
     assert windows == [(datetime(2024, 1, 1, 10), 3, 1)]
-    from lodestrata.streaming.keyed_table import KeyedTable
-    drivers = KeyedTable(layers.path("gold_driver_performance"), ["driver_key"]).rows(spark)
+    drivers = layers.read("gold_driver_performance")
     assert rows(drivers, "driver_key", "total_deliveries", "delayed_deliveries") == [("d1", 4, 1)]
+    assert all(r.last_updated is not None for r in drivers.collect())
+    assert rows(layers.read("gold_delivery_time_distribution"), "time_bucket", "order_count") == [
+        ("Slow", 1), ("Very Fast", 2)]
     assert layers.read("gold_platform_health").first().order_status_rows == 4
 
 
@@ -150,8 +151,7 @@ def test_users_stream_job(spark, rows, tmp_path):
     layers = run()
     put(tmp_path / "in/mongo", "2.json", change("b", 5, "DELETE"), change("a", 4, city="Y"))
     run()
-    current = CurrentTable(layers.path("silver_users_current"), users_stream.RULES, 2)
-    assert rows(current.read(spark), "cpf", "city") == [("a", "Y")]
+    assert rows(users_stream.current(layers).read(spark), "cpf", "city") == [("a", "Y")]
     assert rows(layers.read("gold_user_demographics"), "city", "total_users") == [("Y", 1)]
     assert rows(layers.read("gold_change_audit"), "cpf", "versions", "open_versions") == [
         ("a", 3, 1), ("b", 1, 0)]

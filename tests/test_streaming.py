@@ -2,13 +2,14 @@ import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.operators import change_feed as cf, order_status as os_, performance
 from lodestrata.sources.tables import append_stream, finish, read_table
-from lodestrata.streaming.aggregates import maintain_running
-from lodestrata.streaming.change_tables import CurrentTable, HistoryTable, maintain
+from lodestrata.streaming.change_tables import HistoryTable, maintain
 from lodestrata.streaming.keyed_table import KeyedTable
+from lodestrata.streaming.served import CurrentState, ServedState
 from tests.test_change_feed import RULES, SCHEMA, random_events
 from tests.test_order_status import ORDER, START, STATUS
 
@@ -66,20 +67,42 @@ def test_join_over_micro_batches_equals_batch_and_drops_late_rows(spark, rows, t
     assert read_table(spark, out).filter("order_id = 'late'").isEmpty()
 
 
-def test_running_totals_over_batches(spark, rows, tmp_path):
+def test_running_totals_are_read_from_the_state(spark, rows, tmp_path):
     schema = ("driver_key string, order_id string, restaurant_key string, customer_key string, "
-              "total_amount double, delivery_time_minutes double, is_delayed boolean, "
+              "total_amount decimal(10,2), delivery_time_minutes double, is_delayed boolean, "
               "is_delivered boolean")
     src = f"{tmp_path}/src"
-    totals = KeyedTable(f"{tmp_path}/totals", ["driver_key"], parts=4)
-    data = [(f"d{i % 5}", f"o{i}", "r", "c", 1.5, float(i), i % 2 == 0, None) for i in range(30)]
+    state = ServedState(f"{tmp_path}/cp", {"driver_key": F.col("driver_key")}, performance.driver_parts())
+    data = [(None if i == 7 else f"d{i % 5}", f"o{i}", "r", "c", None if i % 9 == 0 else Decimal(f"{i}.25"), i / 3,
+             i % 2 == 0, None) for i in range(30)]
+
+    def figures(batch=None):
+        totals = state.read(spark, batch)
+        return performance.driver_figures(performance.estimated(totals, performance.DRIVER_COUNTS))
+
+    assert state.read(spark) is None
     for i in range(3):
         add_file(spark, data[10 * i:10 * i + 10], schema, src)
-        finish(maintain_running(
-            performance.driver_performance(stream(spark, schema, src), approximate=True),
-            totals, f"{tmp_path}/cp"))
-    wanted = performance.driver_performance(spark.createDataFrame(data, schema), approximate=True)
-    assert rows(totals.rows(spark).drop("_batch")) == rows(wanted)
+        finish(state.maintain(stream(spark, schema, src)))
+        # Small sketches are exact.
+        assert rows(figures()) == rows(performance.driver_performance(spark.createDataFrame(data[:10 * i + 10], schema)))
+    assert rows(figures(0)) == rows(performance.driver_performance(spark.createDataFrame(data[:10], schema)))
+    wide = ServedState(f"{tmp_path}/cp", state.keys, {"n": F.count(F.lit(1))})
+    with pytest.raises(ValueError, match="one for each"):
+        wide.read(spark)
+
+
+def test_windows_merge_to_wider_ones(spark, rows):
+    schema = ("restaurant_key string, driver_key string, customer_key string, total_amount decimal(10,2), "
+              "delivery_time_minutes double, is_delayed boolean, is_delivered boolean, order_event_time timestamp")
+    rng = random.Random(2)
+    data = [(f"r{i % 3}", f"d{rng.randrange(9)}", f"c{rng.randrange(40)}", Decimal(rng.randrange(9999)) / 100,
+             rng.randrange(9000) / 60, rng.random() < .3, None if i % 5 == 0 else i % 2 == 0,
+             START + timedelta(minutes=rng.randrange(600))) for i in range(500)]
+    statuses = spark.createDataFrame(data, schema)
+    merged = performance.widened(performance.restaurant_windows(statuses), "1 hour")
+    figures = performance.restaurant_figures(performance.estimated(merged, performance.RESTAURANT_COUNTS))
+    assert rows(figures) == rows(performance.restaurant_performance(statuses, window="1 hour"))
 
 
 def test_change_tables_over_batches_equal_batch(spark, rows, tmp_path):
@@ -87,24 +110,31 @@ def test_change_tables_over_batches_equal_batch(spark, rows, tmp_path):
     rng = random.Random(1)
     events.sort(key=lambda e: e[1] + rng.random() * 120)
     src = f"{tmp_path}/src"
-    current = CurrentTable(f"{tmp_path}/current", RULES, parts=3)
+    names = spark.createDataFrame([], SCHEMA).columns
+    current = CurrentState(f"{tmp_path}/cp-c", RULES, names)
     history = HistoryTable(f"{tmp_path}/history", RULES, parts=3, width=50, hot=None)
     size = len(events) // 4 + 1
     for i in range(4):
         add_file(spark, events[i * size:(i + 1) * size], SCHEMA, src)
-        for table, name in ((current, "c"), (history, "h")):
-            finish(maintain(stream(spark, SCHEMA, src), table, f"{tmp_path}/cp-{name}"))
+        finish(maintain(stream(spark, SCHEMA, src), history, f"{tmp_path}/cp-h"))
+        finish(current.maintain(stream(spark, SCHEMA, src)))
         so_far = spark.createDataFrame(events[:(i + 1) * size], SCHEMA)
         assert rows(history.read(spark), *VERSION) == rows(cf.scd2(so_far, RULES, None), *VERSION)
         assert rows(current.read(spark), "k", "v", "u") == rows(cf.scd1(so_far, RULES),
                                                                 "k", "v", "u")
+    assert rows(current.read(spark, 1), "k", "v") == rows(
+        cf.scd1(spark.createDataFrame(events[:2 * size], SCHEMA), RULES), "k", "v")
 
 
 def test_batch_cut_off_after_staging_is_put_in_place_again(spark, rows, tmp_path, monkeypatch):
-    table = CurrentTable(f"{tmp_path}/t", RULES, parts=2)
+    table = KeyedTable(f"{tmp_path}/t", ["k"], parts=2)
     first = spark.createDataFrame([("a", 1, "A", 1, "U", 0), ("b", 1, "B", 1, "U", 0)], SCHEMA)
     second = spark.createDataFrame([("a", 2, "A2", 2, "U", 0)], SCHEMA)
-    table.update(first, 0)
+
+    def update(events, batch):
+        table.merge(events, batch, lambda found: cf.last_events(found, RULES))
+
+    update(first, 0)
     # Staging of batch 1 is complete, but the table lost the folders it was replacing.
     writer = type(spark.range(1).write)
     real = writer.parquet
@@ -115,15 +145,13 @@ def test_batch_cut_off_after_staging_is_put_in_place_again(spark, rows, tmp_path
         return real(self, path, *args, **kwargs)
 
     monkeypatch.setattr(writer, "parquet", broken)
-    try:
-        table.update(second, 1)
-    except RuntimeError:
-        pass
+    with pytest.raises(RuntimeError):
+        update(second, 1)
     monkeypatch.undo()
-    assert rows(table.read(spark), "k", "v") == [("a", "A"), ("b", "B")]
-    table.update(second, 1)
-    table.update(second, 1)
-    assert rows(table.read(spark), "k", "v") == [("a", "A2"), ("b", "B")]
+    assert rows(table.rows(spark), "k", "v") == [("a", "A"), ("b", "B")]
+    update(second, 1)
+    update(second, 1)
+    assert rows(table.rows(spark), "k", "v") == [("a", "A2"), ("b", "B")]
 
 
 def test_folder_that_becomes_empty_holds_no_old_rows(spark, rows, tmp_path):
