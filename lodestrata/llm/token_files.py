@@ -16,6 +16,7 @@ Ids ``i`` to ``j`` of a file lie in blocks ``i // BLOCK`` to ``(j - 1) // BLOCK`
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from bisect import bisect_right
@@ -42,12 +43,12 @@ MAGIC, VERSION = b"LSTOKENS", 1
 TRAILER = struct.Struct("<8sIIIIQQQQ")
 NULL_ID = -(1 << 63)
 # Distinct words whose ids a worker remembers, and how many new ones it encodes at once.
-REMEMBERED, _AT_ONCE = 400_000, 4096
+REMEMBERED, _AT_ONCE = 200_000, 1024
 # The bytes at which a text may be parted without a change to its ids.
 _BLANKS = b" \t\n\r"
 _IS_BLANK = np.zeros(256, bool)
 _IS_BLANK[list(_BLANKS)] = True
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES = 2 << 20
 
 
 class _Known:
@@ -71,6 +72,8 @@ class Encoder:
     """Ids of texts. Words between blanks are encoded once and remembered, since none of the tokenizer's steps crosses a blank."""
 
     def __init__(self, model: str, end: int) -> None:
+        # A task has one core: the library's own threads would only take memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end = Tokenizer.from_str(model), end
