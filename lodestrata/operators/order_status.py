@@ -30,8 +30,9 @@ ORDER_RULES = (
 
 
 def flatten_status(raw: DataFrame) -> DataFrame:
-    """Lift the nested status name and epoch-millisecond time to columns."""
-    carried = [c for c in ("ingestion_timestamp", "source_file") if c in raw.columns]
+    """Lift the nested status name and epoch-millisecond time to columns; other columns stay behind them."""
+    own = ("status_id", "order_identifier", "status", "dt_current_timestamp")
+    carried = [c for c in raw.columns if c not in own]
     return raw.select(
         "status_id",
         "order_identifier",

@@ -8,7 +8,6 @@ from pyspark.sql import SparkSession
 
 from lodestrata.operators.deliveries import daily_kpis, deliveries
 from lodestrata.plans.layers import MAX_BYTES, Layers
-from lodestrata.sources.json_files import stream_json
 from lodestrata.sources.schemas import ORDER_EVENTS, STATUS_EVENTS
 
 
@@ -20,10 +19,8 @@ def run(spark: SparkSession, source: str, target: str, *,
     Without a time bound the stream join keeps every order and status for good.
     """
     layers = Layers(spark, target, trigger, max_bytes)
-    layers.append("bronze_orders", stream_json(
-        spark, f"{source}/kafka_orders_*", schema=ORDER_EVENTS, max_bytes=max_bytes))
-    layers.append("bronze_status", stream_json(
-        spark, f"{source}/kafka_status_*", schema=STATUS_EVENTS, max_bytes=max_bytes))
+    layers.append_lines("bronze_orders", f"{source}/kafka_orders_*", ORDER_EVENTS)
+    layers.append_lines("bronze_status", f"{source}/kafka_status_*", STATUS_EVENTS)
     layers.append("silver_deliveries", deliveries(
         layers.stream("bronze_orders"), layers.stream("bronze_status"),
         within_seconds=within_seconds, watermark=watermark))

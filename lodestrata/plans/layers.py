@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lodestrata.sources.evolution import read_lines
+from lodestrata.sources.quarantine import BAD, bad_lines, good, marked
+from lodestrata.sources.schemas import Schema
 from lodestrata.sources.tables import (
     AVAILABLE_NOW, Dataset, append_stream, finish, read_table, refresh, stream_table,
 )
@@ -44,12 +48,27 @@ class Layers:
                               trigger=self._trigger(), partition_by=partition_by)
         self.settle(query)
 
+    def append_lines(self, name: str, source: str, schema: Schema,
+                     finished: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+        """Append the rows of JSON files with their lineage. Lines that are no valid JSON stay in a folder of the same
+        table: one read and one sink, so each line is in one of the two, once, also when a micro-batch is repeated.
+        """
+        lines = read_lines(self.spark, source, stream=True, max_bytes=self.max_bytes)
+        rows = marked(lines.filter(F.trim("value") != ""), schema).withColumn(
+            "ingestion_timestamp", F.current_timestamp())
+        self.append(name, finished(rows), partition_by=[BAD])
+
+    def quarantined(self, name: str) -> DataFrame:
+        """(line, source file) of the lines of a table that are no valid JSON."""
+        return bad_lines(self.spark, self.path(name))
+
     def settle(self, query) -> None:
         if "availableNow" in self._trigger():
             finish(query)
 
-    def refresh(self, name: str, df: DataFrame, cluster_by: Sequence[str] = ()) -> None:
-        refresh(df, self.path(name), cluster_by=cluster_by)
+    def refresh(self, name: str, df: DataFrame, cluster_by: Sequence[str] = (),
+                partition_by: Sequence[str] = ()) -> None:
+        refresh(df, self.path(name), cluster_by=cluster_by, partition_by=partition_by)
 
     def register(self, database: str, datasets: Sequence[Dataset]) -> None:
         """Make tables of the job known to the catalog, with their descriptions."""
@@ -58,7 +77,7 @@ class Layers:
                 self.spark, self.path(dataset.name))
 
     def read(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name))
+        return good(read_table(self.spark, self.path(name)))
 
     def stream(self, name: str) -> DataFrame:
-        return stream_table(self.spark, self.path(name), max_bytes=self.max_bytes)
+        return good(stream_table(self.spark, self.path(name), max_bytes=self.max_bytes))

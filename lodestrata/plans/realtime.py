@@ -11,7 +11,6 @@ from lodestrata.operators import order_status as os_, performance
 from lodestrata.plans.layers import MAX_BYTES, Layers
 from lodestrata.sources import alerts
 from lodestrata.sources.evolution import resolve_schema
-from lodestrata.sources.json_files import stream_json
 from lodestrata.sources.schemas import ORDER_HINTS, STATUS_EVENTS, SchemaStore
 from lodestrata.sources.tables import AVAILABLE_NOW
 from lodestrata.streaming.served import ServedState
@@ -25,9 +24,8 @@ def run(spark: SparkSession, source: str, target: str, *,
     orders = f"{source}/orders/*.json"
     schema = resolve_schema(spark, orders, SchemaStore(spark, layers.path("schemas/orders")),
                             "add", hints=ORDER_HINTS)
-    layers.append("bronze_orders", stream_json(spark, orders, schema=schema, max_bytes=max_bytes))
-    layers.append("bronze_status", os_.flatten_status(stream_json(
-        spark, f"{source}/status/*", schema=STATUS_EVENTS, max_bytes=max_bytes)))
+    layers.append_lines("bronze_orders", orders, schema)
+    layers.append_lines("bronze_status", f"{source}/status/*", STATUS_EVENTS, os_.flatten_status)
 
     layers.append("silver_order_status", os_.order_status(
         layers.stream("bronze_orders"), layers.stream("bronze_status"),

@@ -8,7 +8,6 @@ from pyspark.sql import SparkSession
 
 from lodestrata.operators import cleaning, star, summaries
 from lodestrata.plans.layers import MAX_BYTES, Layers
-from lodestrata.sources.json_files import stream_json
 from lodestrata.sources.schemas import INVENTORY, PRODUCTS, RATINGS, RESTAURANTS
 
 SOURCES = {
@@ -24,7 +23,7 @@ def run(spark: SparkSession, source: str, target: str, *,
     """``source`` holds one folder per table."""
     layers = Layers(spark, target, trigger, max_bytes)
     for name, (schema, clean) in SOURCES.items():
-        layers.append(f"bronze_{name}", stream_json(spark, f"{source}/{name}/", schema=schema, max_bytes=max_bytes))
+        layers.append_lines(f"bronze_{name}", f"{source}/{name}/", schema)
         layers.append(f"silver_{name}", clean(layers.stream(f"bronze_{name}"), f"checked_{name}"))
 
     restaurants, products = layers.read("silver_restaurants"), layers.read("silver_products")

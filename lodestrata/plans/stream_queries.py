@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.operators import change_feed as cf, order_status as os_, performance
+from lodestrata.operators import change_feed as cf, expectations, order_status as os_, performance
 from lodestrata.plans.oracle import ORACLE, HISTORY, build
 from lodestrata.plans.queries import (
     CHANGE_COLUMNS, CHANGE_RULES, QUERIES, checked_counts, end_as_double, query, statuses as batch_statuses,
@@ -14,6 +14,7 @@ from lodestrata.plans.testviews import VIEWS, table, view
 from lodestrata.session import work_dir
 from lodestrata.sources import alerts, copy_into as loading, evolution, json_files, quarantine
 from lodestrata.sources.tables import append_stream, finish, read_table, stream_table
+from lodestrata.streaming import progress
 from lodestrata.streaming.change_tables import HistoryTable, maintain
 from lodestrata.streaming.served import CurrentState, ServedState
 
@@ -191,8 +192,9 @@ def ingest_json_stream(spark, sf):
 
 @query
 def copy_into_twice(spark, sf):
+    """All columns of the events, in two folders' worth of files; one field comes with the second."""
     folder = work_dir(spark, "copy-into")
-    events = table(spark, sf, "events").select("event_id", "user_id", "value", "event_type")
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("string"))
     purchase = F.col("event_type") == "purchase"
     source, target = f"{folder}/files", f"{folder}/table"
     events.filter(purchase).drop("event_type").write.json(source)
@@ -200,7 +202,7 @@ def copy_into_twice(spark, sf):
     loading.copy_into(spark, source, target)
     events.filter(~purchase).write.mode("append").json(source)
     loading.copy_into(spark, source, target)
-    return loading.loaded(spark, target)
+    return loading.loaded(spark, target).withColumn("value", F.col("value").cast("double"))
 
 
 def _event_lines(events: DataFrame, value) -> DataFrame:
@@ -250,6 +252,58 @@ def quarantine_bad_records(spark, sf):
         {c: F.col(c).cast("double") for c in ("event_id", "user_id")})
 
 
+VALUE_RULES = [
+    expectations.Expectation("small_value", "value <= 100", "warn"),
+    expectations.Expectation("no_error", "event_type <> 'error'", "drop"),
+]
+
+
+@query
+def stream_drop_counts(spark, sf):
+    """What a stream observed: the events, then one type of them once more, which come late but for the last minutes."""
+    folder = work_dir(spark, "drop-counts")
+    events = table(spark, sf, "events")
+    parts = {"first": events, "again": events.filter("event_type = 'signup'")}
+
+    def run():
+        # The same stream in two runs: the second goes on from the watermark of the first.
+        rows = spark.readStream.schema(events.schema).parquet(f"{folder}/in/*").withColumn("ts", F.col("ts").cast("timestamp"))
+        kept = expectations.enforce(rows, VALUE_RULES, "checked").withWatermark("ts", "10 minutes")
+        finish(kept.dropDuplicates(["event_id", "ts"]).writeStream.queryName("drop_counts").format("parquet").option(
+            "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start(f"{folder}/out"))
+
+    with progress.ProgressLog(spark, f"{folder}/progress"):
+        for name, part in parts.items():
+            part.write.parquet(f"{folder}/in/{name}")
+            run()
+    return progress.counted(spark, f"{folder}/progress").filter("query = 'drop_counts'").select("metric", "value")
+
+
+STATUS_LINES = "status_id BIGINT, order_identifier BIGINT, status STRUCT<status_name: STRING, timestamp: BIGINT>"
+
+
+@query
+def rescue_nested_statuses(spark, sf):
+    """Statuses as nested objects: a field inside is unknown to the schema, some times inside are text."""
+    folder = work_dir(spark, "rescue-nested")
+    status = view(spark, sf, "rt_status")
+    millis = F.unix_seconds(F.col("dt_current_timestamp").cast("timestamp")) * 1000
+    late = F.col("status_name") == "Preparing"
+
+    def lines(rows, moment):
+        return rows.select(F.to_json(F.struct(
+            "status_id", "order_identifier",
+            F.struct("status_name", moment.alias("timestamp"), F.col("status_id").alias("courier")).alias("status"),
+            F.col("status_name").alias("note"))).alias("value"))
+
+    lines(status.filter(~late), millis).unionByName(
+        lines(status.filter(late), F.concat(F.lit("at "), F.col("status_name")))).write.text(f"{folder}/lines")
+    read = evolution.read_lines(spark, f"{folder}/lines", stream=True)
+    finish(append_stream(evolution.parse_rescuing(read, STATUS_LINES), f"{folder}/bronze", f"{folder}/checkpoint"))
+    return read_table(spark, f"{folder}/bronze").select(
+        "status_id", "order_identifier", "status.status_name", "status.timestamp", evolution.RESCUED)
+
+
 STREAMED = frozenset(QUERIES) - _BATCH
 
 
@@ -269,9 +323,22 @@ ORACLE["scd2_stream"] = HISTORY
 ORACLE["ingest_json_stream"] = build(["rt_orders"], """
     SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM rt_orders""")
 ORACLE["copy_into_twice"] = """
-    SELECT event_id, user_id, value,
+    SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, value, props,
            CASE WHEN event_type <> 'purchase' THEN event_type END AS event_type
     FROM events"""
+ORACLE["stream_drop_counts"] = """
+    WITH sent AS (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_type = 'signup')
+    SELECT 'checked.rows' AS metric, count(*) AS value FROM sent
+    UNION ALL SELECT 'checked.small_value', count(*) FILTER (WHERE coalesce(value > 100, true)) FROM sent
+    UNION ALL SELECT 'checked.no_error', count(*) FILTER (WHERE coalesce(event_type = 'error', true)) FROM sent
+    UNION ALL SELECT 'late_rows', count(*) FROM events WHERE event_type = 'signup'
+        AND ts <= (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 10 MINUTE"""
+ORACLE["rescue_nested_statuses"] = build(["rt_status"], """
+    SELECT status_id, order_identifier, status_name,
+           CASE WHEN status_name <> 'Preparing' THEN CAST(floor(epoch(dt_current_timestamp)) AS BIGINT) * 1000 END AS timestamp,
+           concat('{"status":{', CASE WHEN status_name = 'Preparing' THEN '"timestamp":"at Preparing",' ELSE '' END,
+                  '"courier":', status_id, '},"note":"', status_name, '"}') AS _rescued_data
+    FROM rt_status""")
 ORACLE["rescue_columns"] = """
     SELECT CASE WHEN event_type <> 'signup' THEN CAST(event_id AS DOUBLE) END AS event_id,
            CASE WHEN event_type <> 'signup' THEN CAST(user_id AS DOUBLE) END AS user_id,

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from lodestrata.operators import snapshots, users
 from lodestrata.plans.layers import Layers
-from lodestrata.sources.json_files import read_json
+from lodestrata.sources.evolution import read_lines
+from lodestrata.sources.quarantine import BAD, marked
 from lodestrata.sources.schemas import DELIVERY_USERS, PROFILE_USERS
 
 TRACKED = (*users.SHARED, *users.DELIVERY_ONLY, *users.PROFILE_ONLY)
@@ -27,10 +28,10 @@ def run(spark: SparkSession, source: str, target: str, *, snapshot: int, at: dat
     layers = Layers(spark, target)
     _refuse_later_loads(layers, snapshot)
     now = F.lit(at)
-    layers.refresh("bronze_delivery_users", read_json(
-        spark, f"{source}/mongo/*", schema=DELIVERY_USERS, now=now))
-    layers.refresh("bronze_profile_users", read_json(
-        spark, f"{source}/mssql/*", schema=PROFILE_USERS, now=now))
+    for name, folder, schema in (("bronze_delivery_users", "mongo", DELIVERY_USERS),
+                                 ("bronze_profile_users", "mssql", PROFILE_USERS)):
+        lines = read_lines(spark, f"{source}/{folder}/*").filter(F.trim("value") != "")
+        layers.refresh(name, marked(lines, schema).withColumn("ingestion_timestamp", now), partition_by=[BAD])
     layers.refresh("silver_users_staging", users.unify_users(
         layers.read("bronze_delivery_users"), layers.read("bronze_profile_users")))
 

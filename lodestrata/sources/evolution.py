@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestrata.sources.json_files import Options, bounded, infer_schema
+from lodestrata.sources.leftovers import left_over
 from lodestrata.sources.schemas import Schema, SchemaStore, as_struct, merged
 
 MODES = ("add", "rescue", "fail", "none")
@@ -21,8 +22,7 @@ class NewColumnsError(Exception):
 
 
 def resolve_schema(spark: SparkSession, path: str, store: SchemaStore, mode: str = "add", *,
-                   hints: str | None = None, sampling: float = 1.0,
-                   options: Options | None = None) -> T.StructType:
+                   hints: str | None = None, options: Options | None = None) -> T.StructType:
     """The schema to read with now; called whenever a stream starts.
 
     The first call infers and stores it. Later calls look only at files modified
@@ -33,7 +33,7 @@ def resolve_schema(spark: SparkSession, path: str, store: SchemaStore, mode: str
     started = _now()
     kept = store.load()
     if kept is None:
-        schema = infer_schema(spark, path, hints=hints, sampling=sampling, options=options)
+        schema = infer_schema(spark, path, hints=hints, options=options)
         store.save(schema, started)
         return schema
     schema, seen_until = kept
@@ -41,7 +41,7 @@ def resolve_schema(spark: SparkSession, path: str, store: SchemaStore, mode: str
         return schema
     recent = {**dict(options or {}), "modifiedAfter": seen_until}
     try:
-        found = infer_schema(spark, path, hints=hints, sampling=sampling, options=recent)
+        found = infer_schema(spark, path, hints=hints, options=recent)
     except AnalysisException:
         return schema  # no newer files
     grown = merged(schema, found)
@@ -70,30 +70,16 @@ def parse_rescuing(lines: DataFrame, schema: Schema, options: Options | None = N
                    line: str = "value") -> DataFrame:
     """Parsed columns, and in ``_rescued_data`` as JSON what they cannot hold.
 
-    That is every field outside the schema and every value of another type. A line
-    that is no JSON object is kept there as it is. Other columns of ``lines`` stay.
+    That is every field outside the schema and every value of another type, at any
+    depth and under its path: what is left of ``s.x`` is ``{"s":{"x":...}}``. A line
+    that is no JSON object, or names a field twice, is kept there as it is. Numbers of
+    more than 38 digits are kept as doubles. Other columns of ``lines`` stay.
     """
     schema = as_struct(schema)
     others = [c for c in lines.columns if c != line]
-    parsed = F.from_json(line, schema, dict(options or {}))
-    raw = F.from_json(line, T.MapType(T.StringType(), T.StringType()))
-    broken = F.col(line).isNotNull() & (F.try_parse_json(F.col(line)).isNull() | raw.isNull())
     rows = lines.select(
-        *others, parsed.alias("_row"), raw.alias("_raw"), F.when(broken, F.col(line)).alias("_broken"))
-    unread = _unread(schema)
-    known = F.array(*[F.lit(name) for name in schema.fieldNames()])
-    rest = F.map_filter(
-        F.col("_raw"),
-        lambda name, _: ~F.array_contains(known, name) | F.array_contains(unread, name))
-    return rows.select(
-        "_row.*", *others,
-        F.coalesce("_broken", F.when(F.size(rest) > 0, F.to_json(rest))).alias(RESCUED))
-
-
-def _unread(schema: T.StructType):
-    """Names of fields that are present in the text but NULL after parsing."""
-    raw = F.col("_raw")
-    return F.array_compact(F.array(*[
-        F.when(F.col("_row")[name].isNull() & raw[name].isNotNull(), F.lit(name))
-        for name in schema.fieldNames()
-    ]))
+        *others, F.from_json(line, schema, dict(options or {})).alias("_row"),
+        F.try_parse_json(line).alias("_raw"), F.col(line).alias("_line"))
+    is_object = F.coalesce(F.schema_of_variant("_raw").startswith("OBJECT"), F.lit(False))
+    rest = F.when(is_object, left_over(F.col("_row"), F.col("_raw"), schema)).otherwise(F.col("_line"))
+    return rows.select("_row.*", *others, rest.alias(RESCUED))

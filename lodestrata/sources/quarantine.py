@@ -34,8 +34,13 @@ def _is_bad() -> Column:
     return F.col(BAD).cast("boolean")
 
 
+def good(rows: DataFrame) -> DataFrame:
+    """The good rows of a table of marked lines; another table as it is."""
+    return rows.filter(~_is_bad()).drop(BAD, LINE) if BAD in rows.columns else rows
+
+
 def good_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).filter(~_is_bad()).drop(BAD, LINE)
+    return good(spark.read.parquet(path))
 
 
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:

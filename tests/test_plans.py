@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def put(folder, name, *records):
     folder.mkdir(exist_ok=True, parents=True)
-    (folder / name).write_text("\n".join(json.dumps(r) for r in records) + "\n")
+    (folder / name).write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in records) + "\n")
 
 
 def order(key, at, amount=30.0):
@@ -45,7 +45,11 @@ def test_realtime_job(spark, rows, tmp_path):
         order("b", "2024-01-01T10:01:00"), order("c", "2024-01-01T10:02:00"))
     put(tmp_path / "in/status", "1.json", status(1, "a", "2024-01-01T10:50:00", "In Transit"),
         status(2, "b", "2024-01-01T10:11:00", "Order Delivered"))
+    put(tmp_path / "in/status", "cut.json", "{cut off", "")
     layers = realtime.run(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    # Input lines are good or bad, blank ones neither.
+    assert rows(layers.quarantined("bronze_status"), "_bad_line") == [("{cut off",)]
+    assert layers.read("bronze_status").count() == 2 and layers.quarantined("bronze_orders").isEmpty()
     put(tmp_path / "in/orders", "2.json", order("z", "2024-01-03T10:00:00"))
     put(tmp_path / "in/status", "2.json", status(9, "z", "2024-01-03T10:00:00", "Preparing"))
     realtime.run(spark, f"{tmp_path}/in", f"{tmp_path}/out")

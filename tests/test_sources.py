@@ -167,3 +167,77 @@ def test_stored_types_do_not_lose_values(spark, tmp_path):
     with pytest.raises(schemas.ChangedTypeError):
         loading.copy_into(spark, source, target)
     assert [r.v for r in loading.loaded(spark, target).collect()] == [7]
+
+
+def test_nested_fields_are_rescued(spark, rows):
+    schema = ("a BIGINT, s STRUCT<x: BIGINT, t: STRUCT<y: STRING>>, l ARRAY<STRUCT<z: BIGINT>>, n ARRAY<BIGINT>, "
+              "m MAP<STRING, BIGINT>")
+    cases = {
+        '{"a":1,"s":{"x":1,"extra":"y"}}': '{"s":{"extra":"y"}}',
+        '{"s":{"x":"bad"}}': '{"s":{"x":"bad"}}',
+        '{"s":{"x":2,"t":{"y":"k","q":[1,{"r":null}]}},"u":{"v":1.5}}': '{"s":{"t":{"q":[1,{"r":null}]}},"u":{"v":1.5}}',
+        '{"s":"text","a":null}': '{"s":"text"}',
+        '{"s":null,"l":null,"a":3}': None,
+        '{"l":[{"z":1},{"z":3,"w":2}]}': '{"l":{"1":{"w":2}}}',
+        # One bad element makes the whole array unreadable, so all of it is left.
+        '{"l":[{"z":1},{"z":"no","w":2},7]}': '{"l":{"0":{"z":1},"1":{"z":"no","w":2},"2":7}}',
+        '{"l":{"z":1}}': '{"l":{"z":1}}',
+        '{"n":[1,2],"m":{"k":1}}': None,
+        '{"n":"x"}': '{"n":"x"}',
+        '{"q\\"uote":1}': '{"q\\"uote":1}',
+        '{"a":1,"a":2}': '{"a":1,"a":2}',
+        '{}': None, '[1]': '[1]', '3': '3', '{"a":1': '{"a":1', '': '',
+    }
+    lines = spark.createDataFrame([(k,) for k in cases], "value string").withColumn("line", F.col("value"))
+    found = {r.line: r[evolution.RESCUED] for r in evolution.parse_rescuing(lines, schema).collect()}
+    assert found == cases
+    kept = evolution.parse_rescuing(lines, schema).filter("s.x = 2").first()
+    assert kept.s.t.y == "k"
+
+
+def test_schema_is_the_same_for_any_order_of_lines(spark, tmp_path):
+    lines = ['{"a":1,"s":{"x":1}}', '{"a":2.5,"s":{"x":2,"y":[{"z":true}]}}', '{"b":"t","a":null,"n":null}', "{broken",
+             '{"b":7,"o`d":1,"e":{}}']
+    wanted = schemas.as_struct(
+        "a DOUBLE, b STRING, e STRING, n STRING, `o``d` BIGINT, s STRUCT<x: BIGINT, y: ARRAY<STRUCT<z: BOOLEAN>>>")
+    for k, order in enumerate((lines, lines[::-1])):
+        for n, line in enumerate(order):
+            put(tmp_path / f"in{k}", f"{n}.json", line)
+        assert json_files.infer_schema(spark, f"{tmp_path}/in{k}") == wanted
+    (tmp_path / "none").mkdir()
+    put(tmp_path / "none", "a.json", "[1]")
+    assert json_files.infer_schema(spark, f"{tmp_path}/none", hints="k DATE") == schemas.as_struct("k DATE")
+
+
+def test_file_that_arrives_while_a_load_runs_keeps_its_columns(spark, rows, tmp_path, monkeypatch):
+    source, target = tmp_path / "in", f"{tmp_path}/table"
+    put(source, "a.json", {"id": 1})
+    real = loading._load
+
+    def slow(batch, batch_id, *rest):
+        # The first batch has its list of files; this one comes with the next.
+        if batch_id == 0:
+            put(source, "b.json", {"id": 2, "late": "x"})
+        real(batch, batch_id, *rest)
+
+    monkeypatch.setattr(loading, "_load", slow)
+    loading.copy_into(spark, str(source), target)
+    loading.copy_into(spark, str(source), target)
+    assert rows(loading.loaded(spark, target)) == [(1, None), (2, "x")]
+
+
+def test_repeated_batch_replaces_what_it_wrote(spark, rows, tmp_path, monkeypatch):
+    source, target = tmp_path / "in", f"{tmp_path}/table"
+    put(source, "a.json", {"id": 1})
+    real = loading._load
+
+    def broken(batch, batch_id, *rest):
+        real(batch, batch_id, *rest)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(loading, "_load", broken)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        loading.copy_into(spark, str(source), target)
+    monkeypatch.undo()
+    loading.copy_into(spark, str(source), target)
+    assert rows(loading.loaded(spark, target)) == [(1,)]
