@@ -53,10 +53,10 @@ def copy_into(spark: SparkSession, source: str, target: str, *, merge_schema: bo
 def _load(batch: DataFrame, batch_id: int, target: str, merge_schema: bool, hints: str | None,
           options: Options | None) -> None:
     spark, store = batch.sparkSession, _store(batch.sparkSession, target)
+    kept = store.load()
     seen, staged = Observation(), f"{target}/staged"
     batch.observe(seen, line_schema()).write.mode("overwrite").parquet(staged)
     found = with_hints(as_columns(seen.get[LINE_SCHEMA]), hints)
-    kept = store.load()
     schema = found if kept is None else merged(kept[0], found) if merge_schema else kept[0]
     # The batch is loaded before the schema names its columns: a repeated batch finds the same.
     rows = spark.read.schema("value STRING").parquet(staged)
