@@ -272,3 +272,33 @@ def _distances(blocks: DataFrame, state: DataFrame, centroids: np.ndarray, compo
 
     joined = blocks.join(state.select("block", "cluster"), "block").select("ids", "vectors", "cluster")
     return map_batches(joined, run, "vec_id long, cluster int, distance long")
+
+
+def oracle_sql() -> str:
+    """The same as SQL: every vector with every centroid in each round."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings WHERE len(embedding) = {COMPONENTS}
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""centres0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('{SEED}' || vec_id)) - 1 AS c, v FROM kept
+        QUALIFY c < {CLUSTERS})"""]
+    for r in range(ROUNDS + 1):
+        steps.append(f"""nearest{r} AS MATERIALIZED (
+        SELECT vec_id, kept.v AS v, c, list_sum(list_transform(
+            list_zip(kept.v, centres{r}.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM kept CROSS JOIN centres{r} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)""")
+        if r < ROUNDS:
+            steps.append(f"""sums{r} AS (
+        SELECT c, i, sum(x) AS total, count(*) AS n
+        FROM (SELECT c, unnest(v) AS x, unnest(range({COMPONENTS})) AS i FROM nearest{r}) GROUP BY c, i),
+    centres{r + 1} AS MATERIALIZED (
+        SELECT centres{r}.c AS c, coalesce(means.v, centres{r}.v) AS v FROM centres{r} LEFT JOIN (
+            SELECT c, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM sums{r} GROUP BY c
+        ) means ON means.c = centres{r}.c)""")
+    return "WITH " + ",\n    ".join(steps) + f"""
+    SELECT vec_id, CAST(nearest{ROUNDS}.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+           CAST(sum(d) OVER (PARTITION BY nearest{ROUNDS}.c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(centres{ROUNDS}.v, ',')) AS centroid_sha256
+    FROM nearest{ROUNDS} JOIN centres{ROUNDS} ON centres{ROUNDS}.c = nearest{ROUNDS}.c"""

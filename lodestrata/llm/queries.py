@@ -88,4 +88,5 @@ ORACLE = {
     "op8_mixing": mixing.ORACLE,
     "op9_url_filter": url_filter.oracle_sql(),
     "op11_phrase_collocations": collocations.ORACLE,
+    "op13_centroid_clustering": centroids.oracle_sql(),
 }
