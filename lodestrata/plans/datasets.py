@@ -29,6 +29,10 @@ REALTIME = (
                "order and status event", alert_level="high"),
     _described("gold", "restaurant_performance", "Performance of restaurants over time",
                "restaurant and ten-minute window"),
+    _described("gold", "restaurant_windows", "Parts of the figures, sketches included, to merge to wider windows",
+               "restaurant and ten-minute window"),
+    _described("gold", "driver_performance", "Performance of drivers since the start", "driver"),
+    _described("gold", "delivery_time_distribution", "Orders by delay", "delay bucket"),
     _described("gold", "platform_health", "Performance of the platform", "one row"),
 )
 

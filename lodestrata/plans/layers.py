@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from lodestrata.sources.evolution import read_lines
 from lodestrata.sources.quarantine import BAD, bad_lines, good, marked
@@ -14,6 +16,7 @@ from lodestrata.sources.schemas import Schema
 from lodestrata.sources.tables import (
     AVAILABLE_NOW, Dataset, append_stream, finish, read_table, refresh, stream_table,
 )
+from lodestrata.streaming.running import Running
 
 
 MAX_BYTES = 5 * 1024**3
@@ -24,8 +27,9 @@ class Layers:
     """Tables of one job under a shared folder.
 
     With the available-now trigger every step ends when its input is used up, so
-    steps run one after the other. A continuous trigger leaves streams running;
-    run a job once with available-now before, so that its tables exist.
+    steps run one after the other. A continuous trigger leaves all streams running at
+    once, to be stopped by ``running.stop()``; they go on from their checkpoints at the
+    next start. Run a job once with available-now before, so that its tables exist.
     """
 
     spark: SparkSession
@@ -33,6 +37,7 @@ class Layers:
     trigger: Mapping[str, object] | None = None
     # Bound of every micro-batch of the job.
     max_bytes: int = MAX_BYTES
+    running: Running = field(default_factory=Running)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -62,19 +67,31 @@ class Layers:
         """(line, source file) of the lines of a table that are no valid JSON."""
         return bad_lines(self.spark, self.path(name))
 
-    def settle(self, query) -> None:
+    def settle(self, query: StreamingQuery) -> None:
         if "availableNow" in self._trigger():
             finish(query)
+        else:
+            self.running.add(query)
 
     def refresh(self, name: str, df: DataFrame, cluster_by: Sequence[str] = (),
                 partition_by: Sequence[str] = ()) -> None:
         refresh(df, self.path(name), cluster_by=cluster_by, partition_by=partition_by)
 
-    def register(self, database: str, datasets: Sequence[Dataset]) -> None:
-        """Make tables of the job known to the catalog, with their descriptions."""
-        for dataset in datasets:
-            replace(dataset, name=f"{database}.{dataset.name}").register(
-                self.spark, self.path(dataset.name))
+    def register(self, database: str | None, datasets: Sequence[Dataset]) -> None:
+        """Make the tables that the job has written so far known to the catalog, with their descriptions."""
+        for dataset in datasets if database else ():
+            if self._exists(dataset.name):
+                replace(dataset, name=f"{database}.{dataset.name}").register(
+                    self.spark, self.path(dataset.name))
+
+    def _exists(self, name: str) -> bool:
+        try:
+            read_table(self.spark, self.path(name))
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return False
+        return True
 
     def read(self, name: str) -> DataFrame:
         return good(read_table(self.spark, self.path(name)))

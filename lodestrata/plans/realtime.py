@@ -8,6 +8,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.operators import order_status as os_, performance
+from lodestrata.plans import datasets
 from lodestrata.plans.layers import MAX_BYTES, Layers
 from lodestrata.sources import alerts
 from lodestrata.sources.evolution import resolve_schema
@@ -18,7 +19,8 @@ from lodestrata.streaming.served import ServedState
 
 def run(spark: SparkSession, source: str, target: str, *,
         trigger: Mapping[str, object] | None = None, max_bytes: int = MAX_BYTES,
-        kafka: Mapping[str, str] | None = None, now: Column | None = None) -> Layers:
+        kafka: Mapping[str, str] | None = None, now: Column | None = None,
+        database: str | None = None) -> Layers:
     """``source`` holds the folders orders and status; ``now`` is the clock of the gold tables."""
     layers = Layers(spark, target, trigger, max_bytes)
     orders = f"{source}/orders/*.json"
@@ -45,6 +47,7 @@ def run(spark: SparkSession, source: str, target: str, *,
     layers.settle(drivers(layers).maintain(silver, trigger or AVAILABLE_NOW))
     layers.settle(delays(layers).maintain(performance.with_delay(silver), trigger or AVAILABLE_NOW))
     serve(layers, now)
+    layers.register(database, datasets.REALTIME)
     return layers
 
 

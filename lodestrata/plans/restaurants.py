@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 
 from lodestrata.operators import cleaning, star, summaries
+from lodestrata.plans import datasets
 from lodestrata.plans.layers import MAX_BYTES, Layers
 from lodestrata.sources.schemas import INVENTORY, PRODUCTS, RATINGS, RESTAURANTS
 
@@ -19,7 +20,8 @@ SOURCES = {
 
 
 def run(spark: SparkSession, source: str, target: str, *,
-        trigger: Mapping[str, object] | None = None, max_bytes: int = MAX_BYTES) -> Layers:
+        trigger: Mapping[str, object] | None = None, max_bytes: int = MAX_BYTES,
+        database: str | None = None) -> Layers:
     """``source`` holds one folder per table."""
     layers = Layers(spark, target, trigger, max_bytes)
     for name, (schema, clean) in SOURCES.items():
@@ -42,4 +44,5 @@ def run(spark: SparkSession, source: str, target: str, *,
     layers.refresh("gold_restaurant_inventory", summaries.restaurant_inventory(
         stock, by_restaurant, by_product))
     layers.refresh("gold_city_summary", summaries.city_summary(by_restaurant, ratings, stock))
+    layers.register(database, datasets.RESTAURANTS)
     return layers

@@ -148,10 +148,10 @@ def alert_messages(spark, sf):
 
 # Users from change events.
 
-def _change_stream(spark, sf, folder):
+def change_feed_stream(spark, sf, folder, files=2):
     """The change events as a stream of several files."""
     events = table(spark, sf, "events")
-    events.repartitionByRange(2, "event_id").write.parquet(f"{folder}/events")
+    events.repartitionByRange(files, "event_id").write.parquet(f"{folder}/events")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(
         f"{folder}/events")
     feeds = [spark.sql(VIEWS[name], events=stream)
@@ -163,7 +163,7 @@ def _change_stream(spark, sf, folder):
 def scd1_stream(spark, sf):
     folder = work_dir(spark, "scd1")
     current = CurrentState(f"{folder}/checkpoint", CHANGE_RULES, CHANGE_COLUMNS)
-    finish(current.maintain(_change_stream(spark, sf, folder)))
+    finish(current.maintain(change_feed_stream(spark, sf, folder)))
     return current.read(spark)
 
 
@@ -171,7 +171,7 @@ def scd1_stream(spark, sf):
 def scd2_stream(spark, sf):
     folder = work_dir(spark, "scd2")
     history = HistoryTable(f"{folder}/history", CHANGE_RULES, parts=8)
-    finish(maintain(_change_stream(spark, sf, folder), history, f"{folder}/checkpoint"))
+    finish(maintain(change_feed_stream(spark, sf, folder), history, f"{folder}/checkpoint"))
     return end_as_double(history.read(spark))
 
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.operators import snapshots, users
+from lodestrata.plans import datasets
 from lodestrata.plans.layers import Layers
+from lodestrata.plans.snapshot_history import LOAD, SnapshotHistory
 from lodestrata.sources.evolution import read_lines
 from lodestrata.sources.quarantine import BAD, marked
 from lodestrata.sources.schemas import DELIVERY_USERS, PROFILE_USERS
@@ -19,14 +19,15 @@ TRACKED = (*users.SHARED, *users.DELIVERY_ONLY, *users.PROFILE_ONLY)
 
 
 def run(spark: SparkSession, source: str, target: str, *, snapshot: int, at: datetime,
-        as_of: Column | None = None) -> Layers:
+        as_of: Column | None = None, database: str | None = None) -> Layers:
     """Take in the snapshots in the folders mongo and mssql.
 
     ``snapshot`` numbers the load and ``at`` is its time. A load that is repeated
     replaces what it wrote before; only the last load can be repeated.
     """
     layers = Layers(spark, target)
-    _refuse_later_loads(layers, snapshot)
+    versions = _versions(layers)
+    versions.refuse_if_later(snapshot)
     now = F.lit(at)
     for name, folder, schema in (("bronze_delivery_users", "mongo", DELIVERY_USERS),
                                  ("bronze_profile_users", "mssql", PROFILE_USERS)):
@@ -37,49 +38,20 @@ def run(spark: SparkSession, source: str, target: str, *, snapshot: int, at: dat
 
     staging = layers.read("silver_users_staging")
     layers.refresh("silver_users_unified", snapshots.current_state(staging, now))
-    _write_load(snapshots.history_rows(staging, now), layers.path("silver_users_appended"), snapshot)
-    before = open_versions(layers, snapshot)
-    history = snapshots.open_history(staging, now) if before is None else \
-        snapshots.apply_snapshot(before, staging, keys=["cpf"], tracked=TRACKED, at=now)
-    _write_load(history, layers.path("silver_users_history"), snapshot, ["is_current"])
+    # Replaces all that this load wrote before.
+    layers.refresh(f"silver_users_appended/{LOAD}={snapshot}", snapshots.history_rows(staging, now))
+    versions.apply(staging, snapshot, now)
     layers.refresh("gold_user_analytics", users.user_analytics(
         layers.read("silver_users_unified"), layers.read("silver_users_appended"), as_of,
         one_row_per_user=True))
+    layers.register(database, datasets.USERS_BATCH)
     return layers
 
 
 def history(layers: Layers) -> DataFrame:
-    """Closed versions of all loads and the open ones of the last."""
-    rows = _history_rows(layers)
-    last = rows.agg(F.max("snapshot")).scalar()
-    return rows.filter(~F.col("is_current") | (F.col("snapshot") == last)).drop("snapshot")
+    """All versions of all users after the last load."""
+    return _versions(layers).read()
 
 
-def open_versions(layers: Layers, before: int) -> DataFrame | None:
-    """Open versions after the last load before the given one; closed ones are not read."""
-    try:
-        rows = _history_rows(layers).filter(F.col("is_current") & (F.col("snapshot") < before))
-    except AnalysisException:
-        return None
-    last = rows.agg(F.max("snapshot")).first()[0]
-    return None if last is None else rows.filter(F.col("snapshot") == last).drop("snapshot")
-
-
-def _history_rows(layers: Layers) -> DataFrame:
-    return layers.read("silver_users_history").withColumn(
-        "is_current", F.col("is_current").cast("boolean"))
-
-
-def _write_load(df: DataFrame, path: str, snapshot: int, partition_by: Sequence[str] = ()) -> None:
-    """Replaces all that this load wrote before, also folders that it leaves empty now."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/snapshot={snapshot}")
-
-
-def _refuse_later_loads(layers: Layers, snapshot: int) -> None:
-    """Later loads build on this one: they would have to be repeated too, from the first on."""
-    try:
-        last = layers.read("silver_users_history").agg(F.max("snapshot")).first()[0]
-    except AnalysisException:
-        return
-    if last is not None and last > snapshot:
-        raise ValueError(f"load {snapshot} can't be repeated after load {last}")
+def _versions(layers: Layers) -> SnapshotHistory:
+    return SnapshotHistory(layers.spark, layers.path("silver_users_history"), ["cpf"], TRACKED)

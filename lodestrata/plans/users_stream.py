@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.operators import change_feed as cf, users
+from lodestrata.plans import datasets
 from lodestrata.plans.layers import MAX_BYTES, Layers
 from lodestrata.sources.evolution import parse_rescuing, read_lines
 from lodestrata.sources.schemas import DELIVERY_CHANGES, PROFILE_CHANGES
@@ -26,7 +27,8 @@ FEEDS = {"mongo": DELIVERY_CHANGES, "mssql": PROFILE_CHANGES}
 
 def run(spark: SparkSession, source: str, target: str, *,
         trigger: Mapping[str, object] | None = None, max_bytes: int = MAX_BYTES, parts: int = 64,
-        width: int = 1_000_000) -> Layers:
+        width: int = 1_000_000,
+        database: str | None = None) -> Layers:
     """``source`` holds the folders mongo and mssql."""
     layers = Layers(spark, target, trigger, max_bytes)
     for name, schema in FEEDS.items():
@@ -47,6 +49,7 @@ def run(spark: SparkSession, source: str, target: str, *,
         layers.refresh("gold_user_demographics", users.user_demographics(users_now, one_row_per_user=True))
     if versions is not None:
         layers.refresh("gold_change_audit", cf.version_audit(versions, ["cpf"]))
+    layers.register(database, datasets.USERS_STREAM)
     return layers
 
 

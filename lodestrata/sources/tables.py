@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from lodestrata.sources.quarantine import BAD, good
+
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -21,12 +23,32 @@ class Dataset:
     properties: Mapping[str, str] = field(default_factory=dict)
 
     def register(self, spark: SparkSession, path: str) -> None:
-        """Make the files at ``path`` a catalog table that carries the description."""
+        """Make the files at ``path`` known to the catalog under this name, with the description.
+
+        Repeated registration follows columns that came in since. A table that keeps bad
+        lines apart is a view of its good rows. Both read what its streams have committed.
+        """
+        described = f"COMMENT {_text(self.comment)}"
         properties = {**self.properties, **({"grain": self.grain} if self.grain else {})}
         listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} USING parquet LOCATION {_text(path)} "
-            f"COMMENT {_text(self.comment)}" + (f" TBLPROPERTIES ({listed})" if listed else ""))
+        described += f" TBLPROPERTIES ({listed})" if listed else ""
+        rows = read_table(spark, path)
+        if BAD in rows.columns:
+            columns = ", ".join(_name(c) for c in good(rows).columns)
+            spark.sql(f"CREATE OR REPLACE VIEW {self.name} {described} AS SELECT {columns} "
+                      f"FROM parquet.{_name(path)} WHERE NOT CAST({BAD} AS BOOLEAN)")
+            return
+        if spark.catalog.tableExists(self.name):
+            if spark.table(self.name).schema == rows.schema:
+                spark.catalog.refreshTable(self.name)
+                return
+            # Only the catalog's entry goes: the files are not its own.
+            spark.sql(f"DROP TABLE {self.name}")
+        spark.sql(f"CREATE TABLE {self.name} USING parquet LOCATION {_text(path)} {described}")
+
+
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _text(value: str) -> str:

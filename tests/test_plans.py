@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from lodestrata.operators.snapshots import FINGERPRINT, changed_keys, fingerprint
 from lodestrata.plans import datasets, deliveries, realtime, restaurants, users_batch, users_stream
+from lodestrata.plans.snapshot_history import SnapshotHistory
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -90,15 +92,59 @@ def test_restaurants_job(spark, rows, tmp_path):
     assert rows(layers.read("gold_city_summary"), "total_ratings") == [(3,)]
     assert layers.read("gold_cuisine_summary").isEmpty()
 
-    spark.sql("CREATE DATABASE IF NOT EXISTS lodestrata_test")
+    spark.sql(f"CREATE DATABASE lodestrata_test LOCATION '{tmp_path}/catalog'")
     try:
         layers.register("lodestrata_test", datasets.RESTAURANTS)
-        assert spark.table("lodestrata_test.fact_inventory").count() == 1
-        assert len(spark.catalog.listTables("lodestrata_test")) == len(datasets.RESTAURANTS)
+        # A second run adds rows, and registers the tables again.
+        put(tmp_path / "in/products", "2.json", "{cut off",
+            {"product_id": 2, "restaurant_id": 1, "name": "q", "price": 3.0, "unit_cost": 0.5})
+        restaurants.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", database="lodestrata_test")
+        for name, count in (("fact_inventory", 1), ("silver_products", 2), ("bronze_products", 2)):
+            assert spark.table(f"lodestrata_test.{name}").count() == count
+        assert "_bad_line" not in spark.table("lodestrata_test.bronze_products").columns
+        found = {t.name: t.description for t in spark.catalog.listTables("lodestrata_test")}
+        assert found == {d.name: d.comment for d in datasets.RESTAURANTS}
+        for dataset in datasets.RESTAURANTS:
+            kept = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES lodestrata_test.{dataset.name}").collect()}
+            assert kept["quality"] == dataset.properties["quality"] and kept["grain"] == dataset.grain
+        spark.read.parquet(layers.path("dim_product")).withColumn("more", F.lit(1)).write.parquet(f"{tmp_path}/wider")
+        datasets.Dataset("lodestrata_test.dim_product", "wider").register(spark, f"{tmp_path}/wider")
+        assert "more" in spark.table("lodestrata_test.dim_product").columns
+        assert layers.read("dim_product").count() == 2
     finally:
         spark.sql("DROP DATABASE lodestrata_test CASCADE")
 
 
+def test_realtime_job_running_all_at_once(spark, rows, tmp_path):
+    def put_orders(number, day):
+        put(tmp_path / "in/orders", f"{number}.json", order(f"o{number}", f"2024-01-0{day}T10:00:00"))
+        put(tmp_path / "in/status", f"{number}.json",
+            status(number, f"o{number}", f"2024-01-0{day}T10:50:00", "In Transit"))
+
+    def continuous():
+        return realtime.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", trigger={"processingTime": "0 seconds"})
+
+    put_orders(1, 1)
+    realtime.run(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    put_orders(2, 2)
+    layers = continuous()
+    assert len(layers.running.queries) == 8
+    # Stopped while rows are on their way, and started again with more.
+    layers.running.stop()
+    put_orders(3, 3)
+    layers = continuous()
+    try:
+        layers.running.catch_up()
+        realtime.serve(layers)
+    finally:
+        layers.running.stop()
+    assert rows(layers.read("silver_order_status"), "order_id", "current_status") == [
+        (f"o{n}", "In Transit") for n in (1, 2, 3)]
+    assert rows(layers.read("silver_delayed_orders"), "order_id") == [("o1",), ("o2",), ("o3",)]
+    assert rows(layers.read("gold_driver_performance"), "total_deliveries") == [(3,)]
+    assert spark.read.json(layers.path("alerts")).count() == 3
+
+
 def test_users_batch_job(spark, rows, tmp_path):
     def mongo(cpf, city):
         return {"cpf": cpf, "user_id": "1", "city": city, "email": "e",
@@ -140,6 +186,48 @@ def test_users_batch_load_repeated_with_other_input(spark, rows, tmp_path):
         load(1, ("a", "X"))
 
 
+def test_history_by_fingerprints(spark, rows, tmp_path):
+    kept = SnapshotHistory(spark, f"{tmp_path}/history", ["k"], ["a", "t"])
+
+    def load(number, *found, tracked="k INT, a STRING, t TIMESTAMP, other INT"):
+        kept.apply(spark.createDataFrame(found, tracked), number, F.lit(datetime(2024, 1, number)))
+
+    def versions():
+        return rows(kept.read(), "k", "a", "other", F.day("start_date"), F.day("end_date"))
+
+    moment = datetime(2024, 1, 1, 0, 0, 0, 1)
+    assert kept.read() is None
+    load(1, (1, None, moment, 1), (2, "", moment, 1), (3, "x", moment, 1), (4, "x", None, 1))
+    # Only what is tracked counts; NULL is not empty; one microsecond is a change.
+    load(2, (1, "", moment, 2), (2, "", moment, 2), (3, "x", moment.replace(microsecond=2), 2))
+    expected = [(1, "", 2, 2, None), (1, None, 1, 1, 2), (2, "", 1, 1, None), (3, "x", 1, 1, 2),
+                (3, "x", 2, 2, None), (4, "x", 1, 1, 2)]
+    assert versions() == expected
+    # A load writes only what it changed: three rows here, none where nothing did.
+    assert spark.read.parquet(f"{tmp_path}/history/versions/snapshot=2").count() == 2
+    load(3, (1, "", moment, 3), (2, "", moment, 3), (3, "x", moment.replace(microsecond=2), 3))
+    assert versions() == expected
+    assert spark.read.parquet(f"{tmp_path}/history/versions/snapshot=3").isEmpty()
+    load(4, (4, "x", None, 4))
+    assert versions()[-1] == (4, "x", 4, 4, None) and len(versions()) == 7
+    # Repeated with other rows; unfinished loads are not read; earlier ones can't be repeated.
+    load(4, (2, "", moment, 4))
+    assert [v[0] for v in versions() if v[-1] is None] == [2]
+    kept._mark(4, False)
+    assert versions() == expected
+    with pytest.raises(ValueError):
+        load(2)
+
+
+def test_unchanged_snapshot_rows_are_not_shuffled(spark, tmp_path):
+    kept = SnapshotHistory(spark, f"{tmp_path}/history", ["k"], ["a"])
+    users = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("a"), F.lit("wide").alias("other"))
+    kept.apply(users, 1, F.lit(datetime(2024, 1, 1)))
+    changed = changed_keys(kept.open_keys([1]), users.select("k", fingerprint(users, ["a"]).alias(FINGERPRINT)), ["k"])
+    text = plan(changed)
+    assert "versions" not in text and "wide" not in text and changed.isEmpty()
+
+
 def test_users_stream_job(spark, rows, tmp_path):
     def change(cpf, number, operation="UPDATE", **fields):
         return {"cpf": cpf, "user_id": 1, "operation": operation, "sequenceNum": number,

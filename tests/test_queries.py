@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from lodestrata.plans.stream_queries import QUERIES
+from lodestrata.plans.job_queries import QUERIES
 from tools.compare import canonical
 
 SF_DIR = "/root/testdata/sf0.001"
