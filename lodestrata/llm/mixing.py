@@ -24,9 +24,10 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(NOT_BLANK)), F.lit(0)).cast("long")
 
 
-def place(id_col: Column) -> Column:
-    """Place in the shuffled order, from 0 to 1: the first 52 bits of a digest of the id."""
-    digest = F.md5(F.concat(F.lit("mix:"), F.coalesce(id_col.cast("string"), F.lit(""))))
+def place(id_col: Column, text: Column) -> Column:
+    """Place in the shuffled order, from 0 to 1: the first 52 bits of a digest of the id, or of the text where that is null."""
+    known = F.coalesce(id_col.cast("string"), F.md5(text), F.lit(""))
+    digest = F.md5(F.concat(F.lit("mix:"), known))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
@@ -101,7 +102,7 @@ def fair_queue(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source_key"),
             words(F.col(text_col)).alias("size"),
-            place(F.col(id_col)).alias("place"),
+            place(F.col(id_col), F.col(text_col)).alias("place"),
         ),
         "mix-sizes",
     )
@@ -132,24 +133,29 @@ def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken, range-sorted by finish time.
 
     Rows are known by their ids, or by numbers written with them where ids don't tell
-    them apart: files may be split otherwise when they are read again.
+    them apart: files may be split otherwise when they are read again. Other columns may
+    have any names and come back as they are.
     """
     whole, _ = with_rows(docs, id_col)
-    _, copies = fair_queue(whole, id_col, row_col="__row", **options)
-    taken = whole.join(copies, whole["__row"] == copies["row"])
-    ordered = taken.repartitionByRange(F.col("finish"), F.col("row"), F.col("copy")).sortWithinPartitions(
+    doc = F.col("doc")
+    read = whole.select("row", doc.getField(id_col).alias("id"), doc.getField(text_col).alias("text"),
+                        doc.getField(source_col).alias("source"))
+    _, copies = fair_queue(read, "id", "text", "source", row_col="row", **options)
+    ordered = whole.join(copies, "row").repartitionByRange("finish", "row", "copy").sortWithinPartitions(
         "finish", "row", "copy")
-    return ordered.select(*[whole[c] for c in docs.columns])
+    return ordered.select("doc.*")
 
 
 ORACLE = f"""
     WITH sizes AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{NOT_BLANK}'))::BIGINT AS size,
-               ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE
+               ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, md5(text), '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE
                AS place
         FROM documents),
     sources AS (

@@ -326,18 +326,19 @@ def first_copies(
     """The rows of ``docs`` without all but one row of each component of ``near_copies``.
 
     The row with the least id stays, nulls last; of equal ids the one with the least
-    digest of its text, and of equal texts any one row.
+    digest of its text, and of equal texts any one row. Other columns may have any
+    names and come back as they are.
     """
     whole, own_ids = with_rows(docs, id_col)
-    found = row_groups(whole.select(F.col("__row").alias("row"), F.col(text_col).alias("text")), words, percent)
+    doc_id, text = F.col("doc").getField(id_col), F.col("doc").getField(text_col)
+    found = row_groups(whole.select("row", text.alias("text")), words, percent)
     if own_ids:
-        kept = found.filter(F.col("row") == F.col("component_id")).select(F.col("row").alias("__kept"))
+        kept = found.filter(F.col("row") == F.col("component_id")).select("row")
     else:
-        keys = whole.select(
-            "__row", F.struct(F.col(id_col).isNull(), F.col(id_col), F.sha2(text_col, 256), F.col("__row")).alias("key"))
-        kept = found.join(keys, F.col("row") == F.col("__row")).groupBy("component_id").agg(
-            F.min("key")["__row"].alias("__kept")).select("__kept")
-    return whole.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
+        keys = whole.select("row", F.struct(
+            doc_id.isNull().alias("no_id"), doc_id.alias("id"), F.sha2(text, 256).alias("digest"), "row").alias("key"))
+        kept = found.join(keys, "row").groupBy("component_id").agg(F.min("key")["row"].alias("row")).select("row")
+    return whole.join(kept, "row", "left_semi").select("doc.*")
 
 
 def row_groups(rows: DataFrame, words: int, percent: int) -> DataFrame:

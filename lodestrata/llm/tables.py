@@ -69,7 +69,9 @@ def numbered(df: DataFrame, id_col: str, value_col: str, value: str = "text") ->
 
 
 def with_rows(df: DataFrame, id_col: str) -> tuple[DataFrame, bool]:
-    """(``df`` with a unique long ``__row``, as ``numbered`` gives it; whether ``__row`` is the id itself)."""
+    """((row, doc): a unique long ``row``, as ``numbered`` gives it, and all columns as one struct, whatever their names;
+    whether ``row`` is the id itself)."""
+    doc = F.struct("*").alias("doc")
     if numbers_rows(df, id_col):
-        return df.withColumn("__row", F.col(id_col).cast("long")), True
-    return stored(df.withColumn("__row", F.monotonically_increasing_id()), "numbered"), False
+        return df.select(F.col(id_col).cast("long").alias("row"), doc), True
+    return stored(df.select(F.monotonically_increasing_id().alias("row"), doc), "numbered"), False

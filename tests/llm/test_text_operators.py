@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodestrata.llm import license_scan, line_dedup, mixing, quality, sentencepiece_codec as codec, url_filter
+from lodestrata.llm import license_scan, line_dedup, mixing, ngram_join, quality, sentencepiece_codec as codec, url_filter
 from lodestrata.llm.license_texts import KNOWN_LICENSES
 from lodestrata.llm.queries import ORACLE, QUERIES
 from tools.compare import canonical
@@ -327,3 +327,25 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     assert Counter(map(tuple, found.collect())) == Counter([*wanted, (9, first)])
     ids = spark.createDataFrame([("b", text["t"]), ("a", text["t"])], "doc_id string, text string")
     assert [r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, ids, SF_DIR).collect()] == ["a"]
+
+
+def test_stages_leave_columns_of_any_name(spark):
+    """Names that the stages use themselves, and null and repeated ids."""
+    names = ("row", "copy", "finish", "doc", "id", "key", "size", "target", "__row", "__kept", "component_id", "place")
+    rows = [(None if k % 5 == 0 else k // 2, " ".join(f"w{k}x{j}" for j in range(9)), "ab"[k % 2], *[k] * len(names))
+            for k in range(40)]
+    rows += [rows[3]] * 2
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names)
+    df = spark.createDataFrame(rows, schema)
+    kept = ngram_join.first_copies(df)
+    assert kept.columns == df.columns and sorted(map(str, kept.collect())) == sorted({str(r) for r in df.collect()})
+    mix = mixing.mixed(df)
+    assert mix.columns == df.columns and {str(r) for r in mix.collect()} <= {str(r) for r in df.collect()}
+    whole = df.filter("doc_id > 1").dropDuplicates(["doc_id"])
+    assert {str(r) for r in mixing.mixed(whole).collect()} <= {str(r) for r in whole.collect()}
+    assert sorted(map(str, ngram_join.first_copies(whole).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_rows_without_ids_spread_over_the_order(spark):
+    df = spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
+    assert df.select(mixing.place(F.col("doc_id"), F.col("text"))).distinct().count() == 300
