@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from lodestrata.llm.arrow import map_batches
 from lodestrata.llm.packed import Fields, by_key, runs
 from lodestrata.llm.shingles import mix, slices
-from lodestrata.llm.tables import numbered, stored
+from lodestrata.llm.tables import likely_rows, numbered, stored
 
 # Fixed relation of the three: SPAN - WINDOW + 1 covers HALF, and SPAN is at most twice HALF.
 SPAN, HALF, WINDOW, GRAM = 400, 256, 144, 16
@@ -256,8 +256,11 @@ def repeated_starts(rows: DataFrame, reps: DataFrame) -> DataFrame:
     found = stored(
         by_key(texts, _coarse_entries, answer_coarse, _COARSE, _FOUND, _RANGES), "substring-coarse")
     open_ranges = found.filter("fine = 1").groupBy("owner").agg(F.collect_list(F.struct("first", "last")).alias("r"))
-    asked = rows.join(reps.join(open_ranges, "owner"), "row").select("owner", "text", "r.first", "r.last")
-    fine = by_key(asked, _fine_entries, answer_fine, _FINE, _FOUND, _RANGES)
+    asked = stored(reps.join(open_ranges, "owner").select("row", "owner", "r.first", "r.last"), "substring-open")
+    # Sorted, so that a task that runs again cuts the same chunks.
+    texts = likely_rows(rows.select("row", "text"), asked).join(asked, "row").sortWithinPartitions("row").select(
+        "owner", "text", "first", "last")
+    fine = by_key(texts, _fine_entries, answer_fine, _FINE, _FOUND, _RANGES)
     return found.filter("fine = 0").unionByName(fine).select("owner", "first", "last")
 
 
@@ -270,35 +273,29 @@ def merged(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first[starts], end[np.append(starts[1:], len(first)) - 1]
 
 
-_RESULT = "row long, n_bytes long, starts array<long>, ends array<long>, n_removed long, kept_sha256 string, kept binary"
+_CUT = "row long, starts array<long>, ends array<long>, n_removed long, kept_sha256 string, kept binary"
+_OUT = ["n_bytes", "starts", "ends", "n_removed", "kept_sha256", "kept"]
 
 
 def _removed(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, texts, copies, firsts, lasts = batch.columns
+        rows, texts, firsts, lasts = batch.columns
         for low in range(0, batch.num_rows, 1024):
             out = []
             for k in range(low, min(batch.num_rows, low + 1024)):
-                text = texts[k].as_buffer() if texts[k].is_valid else None
-                data = memoryview(text) if text is not None else memoryview(b"")
-                starts = ends = np.zeros(0, np.int64)
-                if copies[k].as_py() > 1 and len(data) >= SPAN:
-                    starts, ends = np.array([0]), np.array([len(data)])
-                elif firsts[k].is_valid and len(firsts[k].values):
-                    starts, ends = merged(
-                        np.asarray(firsts[k].values, np.int64), np.asarray(lasts[k].values, np.int64))
+                data = memoryview(texts[k].as_buffer())
+                starts, ends = merged(np.asarray(firsts[k].values, np.int64), np.asarray(lasts[k].values, np.int64))
                 edges = np.concatenate(([0], np.stack([starts, ends], 1).ravel(), [len(data)])).tolist()
                 kept = [data[a:b] for a, b in zip(edges[::2], edges[1::2])]
                 digest = hashlib.sha256()
                 for piece in kept:
                     digest.update(piece)
-                out.append((rows[k].as_py(), len(data), starts.tolist(), ends.tolist(), int((ends - starts).sum()),
+                out.append((rows[k].as_py(), starts.tolist(), ends.tolist(), int((ends - starts).sum()),
                             digest.hexdigest(), b"".join(kept) if with_text else None))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind) for column, kind in zip(zip(*out), (
-                    pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.string(),
-                    pa.binary()))],
-                names=["row", "n_bytes", "starts", "ends", "n_removed", "kept_sha256", "kept"])
+                    pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.string(), pa.binary()))],
+                names=["row", "starts", "ends", "n_removed", "kept_sha256", "kept"])
 
 
 def remove_repeats(
@@ -316,22 +313,32 @@ def remove_repeats(
     """
     rows, own_ids = numbered(docs, id_col, text_col)
     labelled = stored(
-        rows.select("row", "id", F.xxhash64("text").alias("owner"), F.sha2("text", 256).alias("digest")),
-        "substring-rows")
+        rows.select("row", "id", F.xxhash64("text").alias("owner"), F.sha2("text", 256).alias("digest"),
+                    F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")), "substring-rows")
     groups = stored(
         labelled.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"),
                                        F.min("owner").alias("owner")), "substring-texts")
     ranges = repeated_starts(rows, groups.select("row", "owner")).groupBy("owner").agg(
         F.collect_list(F.struct("first", "last")).alias("r"))
     # Copies lose all their bytes and need no ranges.
-    found = groups.filter("copies = 1").join(ranges, "owner").select("row", "r.first", "r.last")
-    again = groups.filter("copies > 1 AND digest IS NOT NULL").select("digest", "copies")
-    facts = stored(
-        labelled.join(again, "digest", "left").select("row", F.coalesce("copies", F.lit(1)).alias("copies"))
-        .join(found, "row", "left"), "substring-ranges")
-    asked = rows.select("row", "text").join(facts, "row").select("row", "text", "copies", "first", "last")
-    done = map_batches(asked, lambda batches: _removed(batches, with_text), _RESULT)
-    if own_ids:
-        return done.withColumnRenamed("row", id_col)
-    named = labelled.select("row", F.col("id").alias(id_col))
-    return done.join(named, "row").select(id_col, *[c for c in done.columns if c != "row"])
+    found = stored(groups.filter("copies = 1").join(ranges, "owner").select("row", "r.first", "r.last"), "substring-ranges")
+    again = groups.filter("copies > 1 AND digest IS NOT NULL").select("digest")
+    copied = again.select("digest", F.lit(True).alias("copied"))
+    texts = rows.select("row", "text")
+    # Only texts that lose a part of their bytes are read again and shuffled.
+    cut = map_batches(likely_rows(texts, found).join(found, "row").select("row", "text", "first", "last"),
+                      lambda batches: _removed(batches, with_text), _CUT)
+    # Texts that come twice lose all their bytes, others none.
+    gone = F.coalesce("copied", F.lit(False)) & (F.col("n_bytes") >= SPAN)
+    none, nothing = F.array().cast("array<long>"), hashlib.sha256().hexdigest()
+    done = labelled.join(copied, "digest", "left").join(cut, "row", "left").select(
+        "row", "id", "n_bytes",
+        F.when(gone, F.array(F.lit(0).cast("long"))).otherwise(F.coalesce("starts", none)).alias("starts"),
+        F.when(gone, F.array("n_bytes")).otherwise(F.coalesce("ends", none)).alias("ends"),
+        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
+        F.when(gone, F.lit(nothing)).otherwise(F.coalesce("kept_sha256", "digest", F.lit(nothing))).alias("kept_sha256"),
+        "kept", gone.alias("gone"))
+    if with_text:
+        whole = F.when(F.col("gone"), F.lit("")).otherwise(F.coalesce("text", F.lit(""))).cast("binary")
+        done = done.join(texts, "row").withColumn("kept", F.coalesce("kept", whole))
+    return done.select(F.col("id").alias(id_col), *_OUT)

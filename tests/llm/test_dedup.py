@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.llm import components, cover_tree, exact_dedup, ngram_join, shingles, substring_dedup
+from lodestrata.llm import components, cover_tree, exact_dedup, ngram_join, shingles, substring_dedup, tables
 from lodestrata.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -134,9 +134,21 @@ def test_substring_edges(docs, texts, empty):
     found = removed.select("doc_id", "n_bytes", "n_removed", F.size("starts"), "kept_sha256").collect()
     assert sorted((str(r[0]), *tuple(r)[1:]) for r in found) == wanted
     assert all(hashlib.sha256(r[0]).hexdigest() == r[1] for r in removed.select("kept", "kept_sha256").collect())
+    short = substring_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", F.size("starts"), "kept_sha256")
+    assert sorted((str(r[0]), *tuple(r)[1:]) for r in short.collect()) == wanted
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_row_filter_keeps_what_is_meant(spark, monkeypatch):
+    keys, rows = spark.range(-50, 5000, 7).toDF("row"), spark.range(-100, 6000).select(F.col("id").alias("row"), F.lit("x").alias("text"))
+    wanted = {r.row for r in keys.collect()}
+    found = [r.row for r in tables.likely_rows(rows, keys).collect()]
+    assert wanted <= set(found) and len(found) == len(set(found)) < len(wanted) + 10
+    monkeypatch.setattr(tables, "FILTER_BITS", 64)
+    assert wanted <= {r.row for r in tables.likely_rows(rows, keys).collect()}
+    assert tables.likely_rows(rows, keys.limit(0)).isEmpty()
+
+
 def exact_by_hand(rows):
     keys = [hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t or "").encode()).hexdigest() for _, t in rows]
     for (i, _), key in zip(rows, keys):
