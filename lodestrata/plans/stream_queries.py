@@ -148,10 +148,16 @@ def alert_messages(spark, sf):
 
 # Users from change events.
 
-def change_feed_stream(spark, sf, folder, files=2):
-    """The change events as a stream of several files."""
+def change_feed_stream(spark, sf, folder, files=2, newest_first=False):
+    """The change events as a stream of several files, which a stream reads in the order of their writing."""
     events = table(spark, sf, "events")
-    events.repartitionByRange(files, "event_id").write.parquet(f"{folder}/events")
+    if newest_first:
+        least, greatest = events.agg(F.min("event_id"), F.max("event_id")).first()
+        piece = F.floor((F.col("event_id") - least) * files / F.lit((greatest or 0) - (least or 0) + 1))
+        for k in reversed(range(files)):
+            events.filter(piece == k).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+    else:
+        events.repartitionByRange(files, "event_id").write.parquet(f"{folder}/events")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(
         f"{folder}/events")
     feeds = [spark.sql(VIEWS[name], events=stream)
@@ -175,6 +181,16 @@ def scd2_stream(spark, sf):
     return end_as_double(history.read(spark))
 
 
+@query
+def scd2_stream_late(spark, sf):
+    """The same history from files in reverse order: nearly every key has late events."""
+    folder = work_dir(spark, "scd2-late")
+    history = HistoryTable(f"{folder}/history", CHANGE_RULES, parts=8)
+    feed = change_feed_stream(spark, sf, folder, files=3, newest_first=True)
+    finish(maintain(feed, history, f"{folder}/checkpoint"))
+    return end_as_double(history.read(spark))
+
+
 # Loading files.
 
 @query
@@ -319,7 +335,7 @@ ORACLE["order_latest_status_stream"] = ORACLE["order_latest_status"]
 ORACLE["alert_messages"] = _outer(
     "CAST(order_id AS VARCHAR) AS key, current_status, total_amount", ORACLE["delayed_orders"])
 ORACLE["scd1_stream"] = ORACLE["scd1_current"]
-ORACLE["scd2_stream"] = HISTORY
+ORACLE["scd2_stream"] = ORACLE["scd2_stream_late"] = HISTORY
 ORACLE["ingest_json_stream"] = build(["rt_orders"], """
     SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM rt_orders""")
 ORACLE["copy_into_twice"] = """

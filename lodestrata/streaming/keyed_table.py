@@ -9,7 +9,9 @@ computed again from the untouched table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +23,12 @@ OPEN = -(1 << 62)
 _EMPTY = "_empty"
 
 
+def within(bounds: Mapping[int, int]) -> Column:
+    """Whether a folder belongs to one of the parts and lies in its range or a later one."""
+    return reduce(or_, ((F.col(PART) == part) & (F.col(RANGE) >= least) for part, least in sorted(bounds.items())),
+                  F.lit(False))
+
+
 class KeyedTable:
     def __init__(self, path: str, keys: Sequence[str], *, parts: int = 64,
                  ordered_by: str | None = None, width: int = 1_000_000) -> None:
@@ -45,11 +53,12 @@ class KeyedTable:
         return F.coalesce(number, F.lit(OPEN))
 
     def read(self, spark: SparkSession, parts: Sequence[int] | None = None,
-             from_value: object = None) -> DataFrame | None:
-        """The rows, or those of the given parts from the range of a value on.
+             bounds: Mapping[int, int] | None = None) -> DataFrame | None:
+        """The rows, or those of the given parts.
 
-        Rows without an ordering number always belong to the latter. The result
-        has the folder columns; it is None before the first batch.
+        With ``bounds`` these are the rows without an ordering number, and of each part
+        in ``bounds`` those from a range on. The result has the folder columns; it is
+        None before the first batch. Other folders are not read.
         """
         try:
             rows = spark.read.parquet(f"{self.path}/rows")
@@ -58,9 +67,8 @@ class KeyedTable:
         rows = rows.filter(~F.col(_EMPTY)).drop(_EMPTY)
         if parts is not None:
             rows = rows.filter(F.col(PART).isin(*parts))
-        if from_value is not None:
-            first = self.range_of(F.lit(from_value))
-            rows = rows.filter((F.col(RANGE) == OPEN) | (F.col(RANGE) >= first))
+        if bounds is not None:
+            rows = rows.filter((F.col(RANGE) == OPEN) | within(bounds))
         return rows
 
     def rows(self, spark: SparkSession) -> DataFrame | None:
@@ -91,28 +99,6 @@ class KeyedTable:
             "partitionOverwriteMode", "dynamic").partitionBy(PART, RANGE).parquet(
                 f"{self.path}/rows")
 
-    def merge(self, changes: DataFrame, batch_id: int,
-              combine: Callable[[DataFrame], DataFrame],
-              parts: Sequence[int] | None = None) -> None:
-        """Union the batch with the rows of its folders and reduce them by ``combine``.
-
-        ``combine`` must keep every key (and range) it is given.
-        """
-        spark = changes.sparkSession
-        changes = self.placed(changes)
-
-        def content() -> tuple[DataFrame, DataFrame]:
-            folders = changes.select(PART, RANGE).distinct()
-            touched = parts or changes.agg(self.touched_parts()).first()[0]
-            kept = self.read(spark, touched)
-            rows = changes
-            if kept is not None:
-                kept = kept.join(folders, [PART, RANGE], "left_semi")
-                rows = kept.unionByName(changes, allowMissingColumns=True)
-            return self.placed(combine(rows.drop(PART, RANGE))), folders
-
-        self.replace(spark, batch_id, content)
-
     def _staged(self, spark: SparkSession) -> int | None:
         try:
             row = spark.read.parquet(f"{self.path}/staged_batch").first()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.operators import change_feed as cf, order_status as os_, performance
 from lodestrata.sources.tables import append_stream, finish, read_table
-from lodestrata.streaming.change_tables import HistoryTable, maintain
+from lodestrata.streaming.change_tables import EventLog, HistoryTable, maintain
 from lodestrata.streaming.keyed_table import KeyedTable
 from lodestrata.streaming.served import CurrentState, ServedState
 from tests.test_change_feed import RULES, SCHEMA, random_events
@@ -127,14 +127,13 @@ def test_change_tables_over_batches_equal_batch(spark, rows, tmp_path):
 
 
 def test_batch_cut_off_after_staging_is_put_in_place_again(spark, rows, tmp_path, monkeypatch):
-    table = KeyedTable(f"{tmp_path}/t", ["k"], parts=2)
+    table = HistoryTable(f"{tmp_path}/t", RULES, parts=2, hot=None)
     first = spark.createDataFrame([("a", 1, "A", 1, "U", 0), ("b", 1, "B", 1, "U", 0)], SCHEMA)
     second = spark.createDataFrame([("a", 2, "A2", 2, "U", 0)], SCHEMA)
+    before, after = [("A", 1, None), ("B", 1, None)], [("A", 1, 2), ("A2", 2, None), ("B", 1, None)]
+    shown = ("v", cf.START, cf.END)
 
-    def update(events, batch):
-        table.merge(events, batch, lambda found: cf.last_events(found, RULES))
-
-    update(first, 0)
+    table.update(first, 0)
     # Staging of batch 1 is complete, but the table lost the folders it was replacing.
     writer = type(spark.range(1).write)
     real = writer.parquet
@@ -146,12 +145,40 @@ def test_batch_cut_off_after_staging_is_put_in_place_again(spark, rows, tmp_path
 
     monkeypatch.setattr(writer, "parquet", broken)
     with pytest.raises(RuntimeError):
-        update(second, 1)
+        table.update(second, 1)
+    monkeypatch.undo()
+    assert rows(table.read(spark), *shown) == before
+    table.update(second, 1)
+    table.update(second, 1)
+    assert rows(table.read(spark), *shown) == after
+
+
+def test_only_parts_with_late_keys_are_read_again(spark, rows, tmp_path, monkeypatch):
+    table = HistoryTable(f"{tmp_path}/t", RULES, parts=8, width=10, hot=None)
+    keys = "abcdefgh"
+    events = [[(k, n, f"{k}{n}", n, "U", 0) for k in keys for n in (5, 25, 45)],
+              # One key is late, the others go on; its part's ranges before the event stay unread.
+              [("a", 30, "late", 3, "U", 0), *((k, 65, f"{k}65", 65, "U", 0) for k in keys[1:])]]
+    log, ended = [], []
+    read_log, read_runs = EventLog.read, KeyedTable.read
+    monkeypatch.setattr(EventLog, "read", lambda self, s, bounds: log.append(bounds) or read_log(self, s, bounds))
+
+    def runs(self, s, parts=None, bounds=None):
+        found = read_runs(self, s, parts, bounds)
+        if found is not None and bounds:
+            ended.append(found.select("key_part", "range_part").distinct().collect())
+        return found
+
+    monkeypatch.setattr(KeyedTable, "read", runs)
+    for i, batch in enumerate(events):
+        table.update(spark.createDataFrame(batch, SCHEMA), i)
+    part = spark.createDataFrame([("a",)], "k string").select(F.pmod(F.hash("k"), F.lit(8))).first()[0]
+    # The late event lies in a run from 25 to 45.
+    assert log == [{part: 2}]
+    assert {(p, r) for p, r in ended[0] if r >= 0} == {(part, 4)}
     monkeypatch.undo()
-    assert rows(table.rows(spark), "k", "v") == [("a", "A"), ("b", "B")]
-    update(second, 1)
-    update(second, 1)
-    assert rows(table.rows(spark), "k", "v") == [("a", "A2"), ("b", "B")]
+    together = spark.createDataFrame(sum(events, []), SCHEMA)
+    assert rows(table.read(spark), *VERSION) == rows(cf.scd2(together, RULES, None), *VERSION)
 
 
 def test_folder_that_becomes_empty_holds_no_old_rows(spark, rows, tmp_path):
