@@ -6,18 +6,20 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from lodestrata.operators import summaries
-from lodestrata.plans import deliveries, restaurants, users_batch
+from lodestrata.operators import performance, summaries
+from lodestrata.plans import deliveries, realtime, restaurants, users_batch, users_stream
 from lodestrata.plans.queries import (
     CHANGE_COLUMNS, CHANGE_RULES, FIRST_CUT_DELIVERY, FIRST_CUT_PROFILE, FIRST_SNAPSHOT, SECOND_SNAPSHOT,
-    TRACKED_USER_COLUMNS, day, moment, query, _staging,
+    TRACKED_USER_COLUMNS, checked_counts, day, moment, query, statuses, _staging,
 )
+from lodestrata.plans.oracle import build
 from lodestrata.plans.snapshot_history import SnapshotHistory
-from lodestrata.plans.stream_queries import ORACLE, QUERIES, STREAMED as STREAMS, change_feed_stream
-from lodestrata.plans.testviews import view
+from lodestrata.plans.stream_queries import FLUSH_USER, ORACLE, QUERIES, STREAMED as STREAMS, change_feed_stream
+from lodestrata.plans.testviews import table, view
 from lodestrata.session import work_dir
 from lodestrata.sources.tables import append_stream, stream_table
 from lodestrata.streaming.running import Running
@@ -100,6 +102,54 @@ def users_batch_job(spark, sf):
     return summaries.served(served_by_name(spark, folder, "gold_user_analytics", run), "user_count")
 
 
+@query
+def realtime_job(spark, sf):
+    """Files of orders and statuses through the job to its figures of drivers; a later pair lets the last rows go."""
+    folder = work_dir(spark, "realtime-job")
+    orders, status = view(spark, sf, "rt_orders"), view(spark, sf, "rt_status")
+    end = view(spark, sf, "rt_status").agg((F.max("status_timestamp") + F.expr("INTERVAL 1 DAY")).alias("end"))
+
+    def later(like: DataFrame, **given: Column) -> DataFrame:
+        values = {f.name: F.col("end") if f.dataType == TimestampType() or f.dataType == TimestampNTZType()
+                  else F.lit(FLUSH_USER).cast(f.dataType) for f in like.schema}
+        return end.select(*[value.alias(c) for c, value in {**values, **given}.items()])
+
+    def run(database: str) -> None:
+        # The job only takes orders of an amount.
+        pairs = (orders, status), (later(orders, total_amount=F.lit(1).cast("decimal(10,2)")),
+                                   later(status, status_name=F.lit("Preparing")))
+        for some_orders, some_status in pairs:
+            some_orders.withColumns(_text("order_id", "order_date", "dt_current_timestamp")).write.mode("append").json(
+                f"{folder}/in/orders")
+            some_status.select(
+                "status_id", F.col("order_identifier").cast("string").alias("order_identifier"),
+                F.struct("status_name", F.unix_millis(F.col("status_timestamp").cast("timestamp")).alias("timestamp"))
+                .alias("status"), F.col("dt_current_timestamp").cast("string").alias("dt_current_timestamp")).write.mode(
+                    "append").json(f"{folder}/in/status")
+            realtime.run(spark, f"{folder}/in", f"{folder}/out", database=database)
+
+    found = served_by_name(spark, folder, "gold_driver_performance", run).filter(F.col("driver_key") != FLUSH_USER)
+    return checked_counts(found.drop("last_updated"), performance.driver_performance(statuses(spark, sf)),
+                          ["driver_key"], performance.DRIVER_COUNTS)
+
+
+@query
+def users_stream_job(spark, sf):
+    """Files of change events of two systems through the job, the newer half first, to the audit of versions."""
+    folder = work_dir(spark, "users-stream-job")
+    feeds = {"mongo": view(spark, sf, "delivery_changes"), "mssql": view(spark, sf, "profile_changes")}
+    middle = table(spark, sf, "events").agg(F.avg("event_id")).first()[0]
+
+    def run(database: str) -> None:
+        for chosen in (F.col("sequencenum") > (middle or 0), F.col("sequencenum") <= (middle or 0)):
+            for name, events in feeds.items():
+                events.filter(chosen).withColumns(_text("cpf", "dt_current_timestamp")).withColumnRenamed(
+                    "sequencenum", "sequenceNum").write.mode("append").json(f"{folder}/in/{name}")
+            users_stream.run(spark, f"{folder}/in", f"{folder}/out", parts=8, database=database)
+
+    return served_by_name(spark, folder, "gold_change_audit", run)
+
+
 @query
 def users_history_loads(spark, sf):
     """The history that two loads keep by fingerprints, the last one repeated."""
@@ -136,6 +186,11 @@ def scd1_continuous(spark, sf):
 ORACLE["deliveries_job"] = ORACLE["kpis_daily"]
 ORACLE["restaurants_job"] = ORACLE["restaurant_summary"]
 ORACLE["users_batch_job"] = ORACLE["user_analytics"]
+ORACLE["realtime_job"] = ORACLE["driver_perf_stream"]
+ORACLE["users_stream_job"] = build(["history"], """
+    SELECT CAST(cpf AS VARCHAR) AS cpf, count(*) AS versions, count(*) FILTER (WHERE "__CURRENT") AS open_versions,
+           max("__START_AT") AS last_change_at
+    FROM history GROUP BY cpf""")
 ORACLE["users_history_loads"] = ORACLE["users_history_diff"]
 ORACLE["scd1_continuous"] = ORACLE["scd1_current"]
 

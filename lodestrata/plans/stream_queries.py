@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.operators import change_feed as cf, expectations, order_status as os_, performance
+from lodestrata.operators import change_feed as cf, deliveries as dl, expectations, order_status as os_, performance
 from lodestrata.plans.oracle import ORACLE, HISTORY, build
 from lodestrata.plans.queries import (
     CHANGE_COLUMNS, CHANGE_RULES, QUERIES, checked_counts, end_as_double, query, statuses as batch_statuses,
@@ -146,6 +146,17 @@ def alert_messages(spark, sf):
     return sent.select("key", body.alias("_body")).select("key", "_body.*")
 
 
+@query
+def deliveries_bounded_stream(spark, sf):
+    """Orders with their statuses of the next two hours, as a stream join that lets its state go."""
+    folder = work_dir(spark, "deliveries-bounded")
+    orders, status = EventStreams(spark, sf, folder).inputs()
+    joined = dl.deliveries(orders, status, amount_type="decimal(10,2)", within_seconds=os_.MATCH_SECONDS,
+                           watermark=os_.WATERMARK)
+    finish(append_stream(joined, f"{folder}/deliveries", f"{folder}/checkpoint"))
+    return read_table(spark, f"{folder}/deliveries")
+
+
 # Users from change events.
 
 def change_feed_stream(spark, sf, folder, files=2, newest_first=False):
@@ -328,6 +339,11 @@ def _outer(columns: str, text: str) -> str:
 
 
 ORACLE["order_status_stream"] = ORACLE["order_status_interval"]
+ORACLE["deliveries_bounded_stream"] = build(["rt_orders", "rt_status"], f"""
+    SELECT o.order_id, o.order_date, o.restaurant_key, CAST(o.total_amount AS DOUBLE) AS total_amount, s.status_name
+    FROM rt_orders o JOIN rt_status s ON s.order_identifier = o.order_id
+    WHERE s.dt_current_timestamp - o.dt_current_timestamp BETWEEN INTERVAL 0 SECOND
+          AND INTERVAL {os_.MATCH_SECONDS} SECOND""")
 ORACLE["restaurant_perf_10min_stream"] = _outer("*, true AS within_error", ORACLE["restaurant_perf_10min"])
 ORACLE["driver_perf_stream"] = _outer("*, true AS within_error", ORACLE["driver_perf"])
 ORACLE["delivery_buckets_stream"] = ORACLE["delivery_buckets"]
