@@ -53,8 +53,17 @@ def test_line_dedup(spark, docs, empty):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_lines", F.lit("old"))
     found = {r.doc_id: r for r in line_dedup.drop_boilerplate(df).collect()}
     assert found[0].text == "own 0\n" and (found[0].n_lines, found[0].n_dropped) == (4, 2)
-    assert found[19].text == "menu\nmenu" and found[20].text is None and found[20].n_lines == 0
+    # A page of boilerplate only loses all its lines.
+    assert found[19].text == "" and (found[19].n_lines, found[19].n_dropped) == (2, 2)
+    assert found[20].text is None and found[20].n_lines == 0
     assert found[31].text == "menu\nline 1" and found[41].text == "x 1"
+    # Copies of a page are one page of their host: their lines are no boilerplate, the menu on them is.
+    rows = [(k, f"menu\nnews of {k}", "a") for k in range(12)] + [(100 + k, "menu\ncopied\ntext", "a") for k in range(40)]
+    names = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns(
+        {"__host": F.lit(1), "__site_lines": F.lit(2), "kept": F.lit(3), "doc": F.lit(4), "n_dropped": F.lit("x")})
+    found = line_dedup.drop_boilerplate(names).collect()
+    assert {r.text for r in found if r.doc_id >= 100} == {"copied\ntext"} and len(found) == 52
+    assert {r.n_dropped for r in found} == {1} and {(r["__host"], r.kept, r.doc) for r in found} == {(1, 3, 4)}
     cleaned = line_dedup.drop_boilerplate(docs)
     assert cleaned.columns == [*docs.columns, "n_lines", "n_dropped"] and cleaned.count() == docs.count()
     assert line_dedup.drop_boilerplate(empty).count() == 0
