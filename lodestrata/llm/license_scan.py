@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.license_texts import KNOWN_LICENSES
+from lodestrata.llm.license_texts import KNOWN_LICENSES, TITLES
 
 # Spellings that count as the same, applied to single words.
 SPELLINGS = (
@@ -44,27 +44,33 @@ SPELLINGS = (
     ("copyright holders", "copyright owners"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A line that begins with a copyright mark, or that only reserves all rights.
-COPYRIGHT_LINE = (
-    "(^|[\\n\\r])[ \\t#*/;-]*(copyright[ \\t]+([(]c[)]|©|[0-9<\\[{]|by )|[(]c[)]|©|all rights reserved)[^\\n\\r]*"
-)
+# A line that begins with a copyright mark, with or without a sign or a year, or that only reserves all rights.
+COPYRIGHT_LINE = "(^|[\\n\\r])[ \\t#*/;-]*((portions[ \\t]+)?copyright\\b|[(]c[)]|©|all rights reserved)[^\\n\\r]*"
+# Lines of a wrapped sentence that happen to begin with the word: they get a mark, which goes as punctuation does.
+WRAPPED_LINE = "(^|[\\n\\r])[ \\t#*/;-]*copyright([ \\t]+(notices?|holders?|owners?|laws?|interests?)\\b)"
 NOT_WORD = "[^a-z0-9]+"
 
 
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, words parted by one blank, one spelling each."""
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    words = F.regexp_replace(F.regexp_replace(lowered, COPYRIGHT_LINE, "\n"), NOT_WORD, " ")
+    kept = F.regexp_replace(F.regexp_replace(lowered, WRAPPED_LINE, "\n.copyright$2"), COPYRIGHT_LINE, "\n")
+    words = F.regexp_replace(kept, NOT_WORD, " ")
     words = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
     for variant, chosen in SPELLINGS:
         words = F.replace(words, F.lit(f" {variant} "), F.lit(f" {chosen} "))
     return F.trim(words)
 
 
+def with_titles(texts: dict[str, str]) -> list[tuple[str, str]]:
+    """(name, text) of each text as it is and under each of its usual titles."""
+    return [(name, f"{title}\n\n{text}") for name, text in texts.items() for title in ("", *TITLES.get(name, ()))]
+
+
 def known_digests(spark, texts: dict[str, str] = KNOWN_LICENSES) -> DataFrame:
     """(known_digest, license_id) of the known texts; of equal texts the first name counts."""
     rows = F.array(*[F.struct(F.lit(name).alias("license_id"), F.lit(text).alias("known_text"))
-                     for name, text in texts.items()])
+                     for name, text in with_titles(texts)])
     return (
         spark.range(1).select(F.inline(rows))
         .groupBy(F.sha2(canonical(F.col("known_text")), 256).alias("known_digest"))
@@ -81,7 +87,7 @@ def license_scan(
     """One row per row of ``docs``: the id, ``canonical_digest``, ``n_words`` and ``license_id``.
 
     ``license_id`` is null unless the whole canonical text equals that of a known
-    licence. A null or empty text, or one of punctuation or copyright lines only,
+    licence, with one of its usual titles or without. A null or empty text, or one of punctuation or copyright lines only,
     has zero words and no licence. Repeated rows give repeated rows; null ids stay;
     other columns are not read. The known texts are an argument, so the side that
     Spark may broadcast is as small as that argument.
@@ -106,13 +112,14 @@ def oracle_sql(texts: dict[str, str] = KNOWN_LICENSES) -> str:
 
     def form(text: str) -> str:
         lowered = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
-        kept = f"regexp_replace({lowered}, {quoted(COPYRIGHT_LINE)}, chr(10), 'g')"
+        marked = f"regexp_replace({lowered}, {quoted(WRAPPED_LINE)}, chr(10) || '.copyright' || chr(92) || '2', 'g')"
+        kept = f"regexp_replace({marked}, {quoted(COPYRIGHT_LINE)}, chr(10), 'g')"
         words = f"' ' || trim(regexp_replace({kept}, {quoted(NOT_WORD)}, ' ', 'g')) || ' '"
         for variant, chosen in SPELLINGS:
             words = f"replace({words}, ' {variant} ', ' {chosen} ')"
         return f"trim({words})"
 
-    values = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in texts.items())
+    values = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in with_titles(texts))
     return f"""
         WITH known AS (SELECT sha256({form('known_text')}) AS known_digest, min(name) AS license_id
                        FROM (VALUES {values}) v(name, known_text) GROUP BY 1),

@@ -1,4 +1,4 @@
-"""Public licence texts, by their usual short names."""
+"""Public licence texts, by their usual short names, and the titles that may stand above them."""
 
 _WARRANTY_SOFTWARE = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
@@ -41,13 +41,13 @@ _MIT_GRANT = (
 
 KNOWN_LICENSES = {
     "MIT": (
-        "MIT License\n\n" + _MIT_GRANT + ", subject to the following conditions:\n"
+        _MIT_GRANT + ", subject to the following conditions:\n"
         "The above copyright notice and this permission notice shall be included in all copies or substantial "
         "portions of the Software.\n" + _WARRANTY_SOFTWARE
     ),
-    "MIT-0": "MIT No Attribution\n\n" + _MIT_GRANT + ".\n" + _WARRANTY_SOFTWARE,
+    "MIT-0": _MIT_GRANT + ".\n" + _WARRANTY_SOFTWARE,
     "ISC": (
-        "ISC License\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
         "without fee is hereby granted, provided that the above copyright notice and this permission notice appear "
         "in all copies.\n" + _WARRANTY_AUTHOR
     ),
@@ -89,3 +89,16 @@ KNOWN_LICENSES = {
         "For more information, please refer to <https://unlicense.org>"
     ),
 }
+
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"),
+    "MIT-0": ("MIT No Attribution", "MIT No Attribution License", "MIT-0"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License",
+                     "Simplified BSD License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "BSD License",
+                     "New BSD License", "Modified BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License"),
+    "Unlicense": ("The Unlicense", "Unlicense", "The Unlicense (Unlicense)"),
+}

@@ -43,6 +43,16 @@ def test_licenses(spark, docs, empty):
     names = {r.doc_id: (r.license_id, r.n_words) for r in found.collect()}
     assert [names[k][0] for k in range(1, 9)] == ["MIT", "MIT", "MIT", None, "ISC", None, None, None]
     assert names[None][0] == "MIT" and [names[k][1] for k in (6, 7, 8)] == [0, 0, 0]
+    # Titles may be there or not, and copyright lines need no sign and no year.
+    bare, bsd = license_scan.KNOWN_LICENSES["MIT"], license_scan.KNOWN_LICENSES["BSD-3-Clause"]
+    rows = [(1, bare), (2, f"The MIT License (MIT)\n\nCopyright Jane Doe\n\n{bare}"),
+            (3, f"MIT License\nPortions Copyright: 2020 X\nCopyright\n{bare}"), (4, f"My License\n{bare}"),
+            (5, f"BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n{bsd}"),
+            (6, bsd.replace("the above copyright notice", "the above\n  copyright notice")),
+            (7, bsd.replace("copyright notice", "notice"))]
+    found = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [r.license_id for r in found.orderBy("doc_id").collect()] == [
+        "MIT", "MIT", "MIT", None, "BSD-3-Clause", "BSD-3-Clause", None]
     assert license_scan.license_scan(docs).count() == docs.count()
     assert license_scan.license_scan(empty).count() == 0
 
