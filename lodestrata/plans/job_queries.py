@@ -26,6 +26,8 @@ from lodestrata.streaming.running import Running
 from lodestrata.streaming.served import CurrentState
 
 _BEFORE = frozenset(QUERIES)
+# Rows of one file of lines: a compressed file is read by one task.
+FILE_ROWS = 1_000_000
 
 
 def served_by_name(spark: SparkSession, folder: str, name: str, run: Callable[[str], object]) -> DataFrame:
@@ -42,8 +44,9 @@ def served_by_name(spark: SparkSession, folder: str, name: str, run: Callable[[s
         spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
-def _as_files(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").json(path)
+def _as_files(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """JSON lines in compressed files: as text they are several times the tables they come from."""
+    rows.write.mode(mode).options(compression="gzip", maxRecordsPerFile=FILE_ROWS, **{"zlib.compress.level": "BEST_SPEED"}).json(path)
 
 
 def _text(*columns: str):
@@ -119,13 +122,13 @@ def realtime_job(spark, sf):
         pairs = (orders, status), (later(orders, total_amount=F.lit(1).cast("decimal(10,2)")),
                                    later(status, status_name=F.lit("Preparing")))
         for some_orders, some_status in pairs:
-            some_orders.withColumns(_text("order_id", "order_date", "dt_current_timestamp")).write.mode("append").json(
-                f"{folder}/in/orders")
-            some_status.select(
+            _as_files(some_orders.withColumns(_text("order_id", "order_date", "dt_current_timestamp")),
+                      f"{folder}/in/orders", "append")
+            _as_files(some_status.select(
                 "status_id", F.col("order_identifier").cast("string").alias("order_identifier"),
                 F.struct("status_name", F.unix_millis(F.col("status_timestamp").cast("timestamp")).alias("timestamp"))
-                .alias("status"), F.col("dt_current_timestamp").cast("string").alias("dt_current_timestamp")).write.mode(
-                    "append").json(f"{folder}/in/status")
+                .alias("status"), F.col("dt_current_timestamp").cast("string").alias("dt_current_timestamp")),
+                f"{folder}/in/status", "append")
             realtime.run(spark, f"{folder}/in", f"{folder}/out", database=database)
 
     found = served_by_name(spark, folder, "gold_driver_performance", run).filter(F.col("driver_key") != FLUSH_USER)
@@ -143,8 +146,8 @@ def users_stream_job(spark, sf):
     def run(database: str) -> None:
         for chosen in (F.col("sequencenum") > (middle or 0), F.col("sequencenum") <= (middle or 0)):
             for name, events in feeds.items():
-                events.filter(chosen).withColumns(_text("cpf", "dt_current_timestamp")).withColumnRenamed(
-                    "sequencenum", "sequenceNum").write.mode("append").json(f"{folder}/in/{name}")
+                _as_files(events.filter(chosen).withColumns(_text("cpf", "dt_current_timestamp")).withColumnRenamed(
+                    "sequencenum", "sequenceNum"), f"{folder}/in/{name}", "append")
             users_stream.run(spark, f"{folder}/in", f"{folder}/out", parts=8, database=database)
 
     return served_by_name(spark, folder, "gold_change_audit", run)
