@@ -90,6 +90,12 @@ def _hits(owners: np.ndarray) -> Fields:
     return {"owner": owner, "hits": hits.astype(np.uint32)}
 
 
+def _summed(fields: Fields) -> Fields:
+    """One row for each owner, however many parts of the keys it has hits in."""
+    owner, at = np.unique(fields["owner"], return_inverse=True)
+    return {"owner": owner, "hits": np.bincount(at, fields["hits"], len(owner)).astype(np.uint32)}
+
+
 def _settle(fields: Fields) -> tuple[Fields, Fields]:
     """N-grams that a task sees twice count at once; one entry tells others of them."""
     fields, size = _counted(fields)
@@ -131,8 +137,7 @@ def shared_counts(rows: DataFrame, words: int, percent: int) -> DataFrame:
         if size:
             yield joined()
 
-    found = by_key(rows.select("text"), entries, _answer, _ENTRY, _HITS, _HITS_ROW)
-    return found.groupBy("owner").agg(F.sum("hits").alias("hits"))
+    return by_key(rows.select("text"), entries, _answer, _ENTRY, _HITS, _HITS_ROW, _summed)
 
 
 def _grams(rows: DataFrame, words: int) -> DataFrame:

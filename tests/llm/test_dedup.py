@@ -232,3 +232,20 @@ def test_components_equal_union_find(spark):
     found = {r[0]: r[1] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     nodes = {n for a, b in links if a != b for n in (a, b)}
     assert found == groups_of(links, nodes)
+
+
+def test_hits_of_a_set_are_one_row_over_any_number_of_parts(spark):
+    """They were a row for each part of the n-grams, so their number grew with the partitions as well."""
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words)] * 2 + [" ".join([*words[:390], *[f"x{k}" for k in range(10)]]), "alone in the world of words"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("2", "24"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            counts = ngram_join.shared_counts(rows, 5, 75)
+            assert "Aggregate" not in counts._jdf.queryExecution().optimizedPlan().toString()
+            found.append(sorted(tuple(r) for r in counts.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and len({owner for owner, _ in found[0]}) == len(found[0]) == 2
