@@ -153,15 +153,15 @@ def runs(events: DataFrame, rules: ChangeRules, hot: HotKeys | None = HotKeys())
     keys = list(rules.keys)
     if hot is None:
         return _finished(_event_runs(events, rules, keys))
-    cuts = cut_points(events, keys, rules.sequence, hot)
-    placed = events.join(F.broadcast(cuts), keys, "left").withColumns({
-        "_piece": piece_of(F.col(rules.sequence), F.col("_cuts"), hot.max_cuts * 4),
-        "_is_cut": F.col("_cuts").isNotNull(),
-    }).drop("_cuts")
-    pieces = _event_runs(placed, rules, [*keys, "_piece"])
-    at_edge = F.col("_is_cut") & (F.col("_first") | F.col("_end").isNull())
+    placed = events.join(F.broadcast(cut_points(events, keys, rules.sequence, hot)), keys, "left")
+    # Keys without cuts, mostly all, are sorted once; the pieces of the others are looked at twice.
+    whole = _event_runs(placed.filter(F.col("_cuts").isNull()).drop("_cuts"), rules, keys)
+    piece = piece_of(F.col(rules.sequence), F.col("_cuts"), hot.max_cuts * 4)
+    pieces = _event_runs(
+        placed.filter(F.col("_cuts").isNotNull()).withColumn("_piece", piece).drop("_cuts"), rules, [*keys, "_piece"])
+    at_edge = F.col("_first") | F.col("_end").isNull()
     edges = _joined_edges(pieces.filter(at_edge), rules)
-    return _finished(pieces.filter(~at_edge)).unionByName(_finished(edges))
+    return _finished(whole).unionByName(_finished(pieces.filter(~at_edge))).unionByName(_finished(edges))
 
 
 def _event_runs(events: DataFrame, rules: ChangeRules, by: list[str]) -> DataFrame:
@@ -221,7 +221,7 @@ def _compared(rules: ChangeRules) -> list[str]:
 
 
 def _finished(found: DataFrame) -> DataFrame:
-    return found.drop("_first", "_piece", "_is_cut")
+    return found.drop("_first", "_piece")
 
 
 def change_audit(events: DataFrame, rules: ChangeRules) -> DataFrame:

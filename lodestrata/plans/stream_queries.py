@@ -19,6 +19,8 @@ from lodestrata.streaming.change_tables import HistoryTable, maintain
 from lodestrata.streaming.served import CurrentState, ServedState
 
 FLUSH_USER = -1
+# Events of one file of a feed that comes newest first.
+FILE_EVENTS = 250_000
 _BATCH = frozenset(QUERIES)
 
 
@@ -160,16 +162,23 @@ def deliveries_bounded_stream(spark, sf):
 # Users from change events.
 
 def change_feed_stream(spark, sf, folder, files=2, newest_first=False):
-    """The change events as a stream of several files, which a stream reads in the order of their writing."""
-    events = table(spark, sf, "events")
+    """The change events as a stream of several files, which a stream reads in the order of their writing.
+
+    ``newest_first`` makes the oldest of ``files`` equal ranges of event numbers come last. Of many events a
+    range has several files, written and read by as many tasks, and a micro-batch takes those of one range.
+    """
+    events, each = table(spark, sf, "events"), 1
     if newest_first:
-        least, greatest = events.agg(F.min("event_id"), F.max("event_id")).first()
+        least, greatest, count = events.agg(F.min("event_id"), F.max("event_id"), F.count(F.lit(1))).first()
         piece = F.floor((F.col("event_id") - least) * files / F.lit((greatest or 0) - (least or 0) + 1))
+        each = max(1, -(-count // (files * FILE_EVENTS)))
         for k in reversed(range(files)):
-            events.filter(piece == k).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+            part = events.filter(piece == k)
+            dealt = part.repartition(each, "event_id") if each > 1 else part.coalesce(1)
+            dealt.write.mode("append").parquet(f"{folder}/events")
     else:
         events.repartitionByRange(files, "event_id").write.parquet(f"{folder}/events")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", each).parquet(
         f"{folder}/events")
     feeds = [spark.sql(VIEWS[name], events=stream)
              for name in ("delivery_changes", "profile_changes")]

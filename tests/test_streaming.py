@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.operators import change_feed as cf, order_status as os_, performance
+from lodestrata.plans import stream_queries
 from lodestrata.sources.tables import append_stream, finish, read_table
 from lodestrata.streaming.change_tables import EventLog, HistoryTable, maintain
 from lodestrata.streaming.keyed_table import KeyedTable
@@ -189,3 +190,18 @@ def test_folder_that_becomes_empty_holds_no_old_rows(spark, rows, tmp_path):
     table.update(spark.createDataFrame([("a", 2, "B", 1, "U", 0)], SCHEMA), 1)
     assert rows(table.read(spark), "v", cf.START, cf.END) == [
         ("A", 1, 2), ("B", 2, 5), ("C", 5, None)]
+
+
+def test_feed_that_comes_newest_first_has_files_for_several_tasks(spark, tmp_path, monkeypatch):
+    """Each range was one file, written by one task and read by as few as it had row groups."""
+    rows = [(k, datetime(2024, 1, 1), k % 5, "signup", 1.0, "{}") for k in range(90)]
+    spark.createDataFrame(
+        rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+    ).write.parquet(f"{tmp_path}/sf/events.parquet")
+    monkeypatch.setattr(stream_queries, "FILE_EVENTS", 10)
+    feed = stream_queries.change_feed_stream(spark, f"{tmp_path}/sf", f"{tmp_path}/w", files=3, newest_first=True)
+    assert len(list((tmp_path / "w/events").glob("part-*"))) == 9
+    seen = []
+    feed.writeStream.foreachBatch(lambda batch, _: seen.append(sorted(r[0] for r in batch.select("user_id").collect()))).option(
+        "checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    assert seen == [list(range(60, 90)), list(range(30, 60)), list(range(30))]
