@@ -16,6 +16,7 @@ Ids ``i`` to ``j`` of a file lie in blocks ``i // BLOCK`` to ``(j - 1) // BLOCK`
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -43,12 +44,29 @@ MAGIC, VERSION = b"LSTOKENS", 1
 TRAILER = struct.Struct("<8sIIIIQQQQ")
 NULL_ID = -(1 << 63)
 # Distinct words whose ids a worker remembers, and how many new ones it encodes at once.
-REMEMBERED, _AT_ONCE = 200_000, 1024
+REMEMBERED, _AT_ONCE = 400_000, 1024
 # The bytes at which a text may be parted without a change to its ids.
 _BLANKS = b" \t\n\r"
 _IS_BLANK = np.zeros(256, bool)
 _IS_BLANK[list(_BLANKS)] = True
 _TEXT_BYTES = 2 << 20
+# The steps before the merges for which words may be parted further, where no match of the pattern can go on.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+# Kinds of bytes. Next to others (controls, what is no ASCII) nothing is parted, but next to the letters of Latin-1.
+_OTHER, _LETTER, _DIGIT, _MARK, _QUOTE = range(5)
+_KIND = np.array([_OTHER if b < 33 or b > 126 else _LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else
+                  _QUOTE if b == 39 else _MARK for b in range(256)], np.uint8)
+_PARTED = np.zeros((5, 5), bool)
+_PARTED[_LETTER, [_DIGIT, _MARK, _QUOTE]] = _PARTED[_DIGIT, 1:] = _PARTED[_MARK, [_LETTER, _DIGIT]] = True
+_PARTED[_QUOTE, _DIGIT] = True
+_PARTED = _PARTED.reshape(-1)
+# Words that are one match each, so one end of a word in the ids.
+_ONE_MATCH = "^(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9]|[!-/:-@\\[-`{-~]+)$"
 
 
 class _Known:
@@ -68,8 +86,20 @@ class _Known:
         return self.ids[np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())], sizes
 
 
+def _places(data: bytes, part: bytes) -> Iterator[int]:
+    at = data.find(part)
+    while at >= 0:
+        yield at
+        at = data.find(part, at + 1)
+
+
 class Encoder:
-    """Ids of texts. Words between blanks are encoded once and remembered, since none of the tokenizer's steps crosses a blank."""
+    """Ids of texts. Words between blanks are encoded once and remembered, since none of the tokenizer's steps crosses a blank.
+
+    With the steps of ``_NORMALIZER`` and ``_PRE_TOKENIZER`` words are also parted where
+    letters, digits and marks meet, A-Z are lower-cased first, and words that are one match
+    each are encoded many at once: the last id of each is one that ends a word.
+    """
 
     def __init__(self, model: str, end: int) -> None:
         # A task has one core: the library's own threads would only take memory.
@@ -78,36 +108,98 @@ class Encoder:
 
         self.tokenizer, self.end = Tokenizer.from_str(model), end
         self.known = _Known(pa.array([], pa.binary()), np.zeros(0, np.uint32), np.zeros(0, np.int64))
-
-    def _encoded(self, words: pa.Array) -> _Known:
-        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        self.added = self.tokenizer.get_added_tokens_decoder()
+        self.ends = self._ends()
+
+    def _ends(self) -> np.ndarray | None:
+        """Whether each id ends a word; none if the tokenizer's steps are others than those known here."""
+        steps, model = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer), self.tokenizer.model
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in self.added.values()) or (
+            self.tokenizer.post_processor is not None or None in steps
+        ) or [json.loads(s.__getstate__()) for s in steps] != [_NORMALIZER, _PRE_TOKENIZER]:
+            return None
+        suffix = getattr(model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        ends[[i for token, i in self.tokenizer.get_vocab(False).items() if token.endswith(suffix)]] = True
+        return ends
+
+    def _each(self, words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for at in range(0, len(words), _AT_ONCE):
-            part = words.slice(at, _AT_ONCE).cast(pa.string()).to_pylist()
+            part = words.slice(at, _AT_ONCE).to_pylist()
             found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            yield np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _together(self, words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """As ``_each``, for words that are one match each."""
+        for at in range(0, len(words), _AT_ONCE):
+            part = words.slice(at, _AT_ONCE)
+            ids = np.array(self.tokenizer.encode_batch_fast(
+                [" ".join(part.to_pylist())], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(part):
+                yield ids, np.diff(ends, prepend=0)
+            else:
+                yield from self._each(part)
+
+    def _encoded(self, words: pa.Array, single: int) -> _Known:
+        """The first ``single`` words are one match each."""
+        texts = words.cast(pa.string())
+        parts = [(np.zeros(0, np.uint32), np.zeros(0, np.int64)), *self._together(texts[:single]), *self._each(texts[single:])]
+        ids, sizes = zip(*parts)
         return _Known(words, np.concatenate(ids), np.concatenate(sizes))
 
     def _vocabulary(self, words: pa.Array) -> _Known:
         """The ids of distinct words, the end id after the last."""
-        known = pc.index_in(words, self.known.words)
-        fresh = self._encoded(words.filter(pc.is_null(known)))
-        if len(self.known.words) + len(fresh.words) > REMEMBERED:
-            own = known.drop_null().to_numpy()
-            ids, sizes = self.known.taken(own)
-            self.known = _Known(self.known.words.take(pa.array(own)), ids, sizes)
-        self.known = self.known.joined(fresh)
-        ids, sizes = self.known.taken(pc.index_in(words, self.known.words).to_numpy())
+        at = pc.fill_null(pc.index_in(words, self.known.words), -1).to_numpy().astype(np.int64)
+        fresh, old = np.flatnonzero(at < 0), at >= 0
+        if len(self.known.words) + len(fresh) > REMEMBERED:
+            ids, sizes = self.known.taken(at[old])
+            self.known = _Known(self.known.words.take(pa.array(at[old])), ids, sizes)
+            at[old] = np.arange(len(sizes))
+        one = np.zeros(len(fresh), bool)
+        if self.ends is not None:
+            one = pc.match_substring_regex(words.take(pa.array(fresh)).cast(pa.string()), _ONE_MATCH).to_numpy(zero_copy_only=False)
+        fresh = np.concatenate((fresh[one], fresh[~one]))
+        at[fresh] = len(self.known.words) + np.arange(len(fresh))
+        self.known = self.known.joined(self._encoded(words.take(pa.array(fresh)), int(one.sum())))
+        ids, sizes = self.known.taken(at)
         return _Known(words, np.append(ids, np.uint32(self.end)), np.append(sizes, 1))
 
+    def _parted(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes with the same ids, where a word may begin within another)."""
+        if self.ends is None or not len(data):
+            return data, np.zeros(len(data), bool)
+        kinds = _KIND[data]
+        # The letters U+00C0 to U+00FF are two bytes each; U+00D7 and U+00F7 are none.
+        after = np.append(data[1:], np.uint8(0))
+        latin = np.flatnonzero((data == 0xC3) & (after & 0xC0 == 0x80) & (after != 0x97) & (after != 0xB7))
+        kinds[latin] = kinds[latin + 1] = _LETTER
+        cut = np.zeros(len(data), bool)
+        cut[1:] = _PARTED[kinds[:-1] * np.uint8(5) + kinds[1:]]
+        # No mark that would join the letter may follow.
+        capital = (data - np.uint8(65) < 26) & ((after < 0x80) | (after == 0xC3))
+        lower = data + capital * np.uint8(32)
+        if self.added:
+            # Added tokens are looked for in the text as it is, before all other steps.
+            folded = data.tobytes().lower()
+            for token in {t.content.encode() for t in self.added.values()}:
+                for at in _places(folded, token.lower()):
+                    lower[at : at + len(token)] = data[at : at + len(token)]
+                    cut[at + 1 : at + len(token)] = False
+        return lower, cut
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text, with the end id)."""
         cuts = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4)
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]]
         cuts = cuts - cuts[0]
+        data, begins = self._parted(data)
         inside = ~_IS_BLANK[data]
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
+        begins[:1] |= inside[:1]
+        begins[1:] |= inside[1:] & ~inside[:-1]
         heads = cuts[:-1][cuts[:-1] < len(data)]
         begins[heads] = inside[heads]
         starts = np.flatnonzero(begins)

@@ -7,17 +7,19 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import re
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from lodestrata.llm import bit_packing, centroids, collocations, queries, token_files
 from lodestrata.llm.double_array import DoubleArray, digits
 
 SF_DIR = "/root/testdata/sf0.001"
 MODEL = public_tokenizers.path("word_bpe_49k.json")
+MODEL_TEXT = token_files._model(MODEL)[0]
 
 
 def plain_collocations(rows, least, top):
@@ -159,6 +161,56 @@ def test_token_edges(spark, docs, empty, tmp_path):
     assert token_files.token_index(empty, MODEL).count() == 0
 
 
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, add_special_tokens):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+
+def encoded(encoder, texts):
+    ids, sizes = encoder.encode(pa.array(texts, pa.string()))
+    return [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
+def test_few_texts_reach_the_tokenizer():
+    encoder = token_files.Encoder(MODEL_TEXT, 1)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    forms = [f"{w}{m}" for k in range(300) for m in ("", ".", ",", "!?", "7") for w in (f"wé{'ab' * (k % 17)}{'c' * k}", f"W{'d' * k}")]
+    texts = [" ".join(forms[k : k + 50]) for k in range(0, len(forms), 50)]
+    plain = Tokenizer.from_file(MODEL)
+    assert encoded(encoder, texts) == [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    # One for each different word before.
+    assert counted.texts < 10
+
+
+PIECES = [*"abJSé×ß0159'.,<=>|! \t\n", "É", "'S", "'re", "'LL", "\u030c", "\u0301", "\u0338", "\u0344", "\u20e3", "\u212a", "\u037e",
+          "\u0130", "\u0345", "\x0b", "\x85", "\u3000", "\x00", "漢", "½", "😀", "<|endoftext|>", "<|EndOfText|>", "<|", "endoftext", "|>"]
+
+
+ENCODER = token_files.Encoder(MODEL_TEXT, 1)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=9).map("".join), min_size=1, max_size=30))
+def test_parted_words(texts):
+    assert ENCODER.ends is not None
+    assert encoded(ENCODER, texts) == [[*e.ids, 1] for e in ENCODER.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_steps_part_nothing():
+    tokenizer = Tokenizer.from_str(MODEL_TEXT)
+    tokenizer.normalizer = normalizers.NFC()
+    encoder = token_files.Encoder(tokenizer.to_str(), 1)
+    texts = ["Don't STOP, it's 12.", "a<|endoftext|>B"]
+    assert encoder.ends is None
+    assert encoded(encoder, texts) == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
 def plain_clusters(rows, k, rounds):
     kept = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows
             if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
