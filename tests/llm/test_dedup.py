@@ -139,6 +139,52 @@ def test_substring_edges(docs, texts, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def starts_by_tasks(texts, tasks):
+    """(text, start) of all repeated strings, with the entries of each task settled on their own."""
+    data = [np.frombuffer(t, np.uint8) for t in texts]
+
+    def joined(parts):
+        return {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+
+    def entries(k):
+        key, whole, first, last = substring_dedup.coarse(data[k])
+        return {"key": key, "whole": whole, "owner": np.full(len(key), k, np.uint64), "first": first.astype(np.uint32),
+                "last": last.astype(np.uint32), "weight": np.full(len(key), substring_dedup.ONE, np.uint8)}
+
+    sent, found = zip(*(substring_dedup.settle_coarse(joined([entries(k) for k in task])) for task in tasks))
+    found = joined([*found, substring_dedup.answer_coarse(joined(sent))])
+    ranges = list(zip(*(found[c].tolist() for c in ("owner", "first", "last", "fine"))))
+    asked = [(k, s) for k, first, last, fine in ranges if fine for s in range(first, last + 1)]
+    repeated = {(k, s) for k, first, last, fine in ranges if not fine for s in range(first, last + 1)}
+    names = {}
+    for k, s in set(asked):
+        names.setdefault(texts[k][s : s + substring_dedup.SPAN], []).append((k, s))
+    return repeated.union(*(places for places in names.values() if len(places) > 1))
+
+
+def test_repeats_over_tasks():
+    rng = np.random.default_rng(3)
+
+    def letters(n):
+        return rng.integers(97, 123, n, np.uint8).tobytes()
+
+    for _ in range(20):
+        passage = letters(900)
+        texts = [letters(20) + passage + letters(20), letters(20) + passage[rng.integers(20, 200) : -rng.integers(20, 200)] + letters(10),
+                 letters(30) + passage + letters(30), passage[rng.integers(20, 200) :] + letters(1)]
+        places = {}
+        for k, t in enumerate(texts):
+            for s in range(len(t) - substring_dedup.SPAN + 1):
+                places.setdefault(t[s : s + substring_dedup.SPAN], set()).add((k, s))
+        for n in (3, 4):
+            plain = set()
+            for p in ({x for x in p if x[0] < n} for p in places.values()):
+                plain |= p if len(p) > 1 else set()
+            # Of the first task's texts only one is heard of elsewhere, as the head of a mixed bucket.
+            for tasks in ([[0, 1], [2]], [[0], [1, 2]], [[0, 2], [1]], [[0], [1], [2]]):
+                assert starts_by_tasks(texts[:n], [*tasks, *([3] for _ in range(n - 3))]) == plain
+
+
 def test_row_filter_keeps_what_is_meant(spark, monkeypatch):
     keys, rows = spark.range(-50, 5000, 7).toDF("row"), spark.range(-100, 6000).select(F.col("id").alias("row"), F.lit("x").alias("text"))
     wanted = {r.row for r in keys.collect()}
