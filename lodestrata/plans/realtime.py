@@ -12,6 +12,7 @@ from lodestrata.plans import datasets
 from lodestrata.plans.layers import MAX_BYTES, Layers
 from lodestrata.sources import alerts
 from lodestrata.sources.evolution import resolve_schema
+from lodestrata.sources.json_files import JSON_FILES
 from lodestrata.sources.schemas import ORDER_HINTS, STATUS_EVENTS, SchemaStore
 from lodestrata.sources.tables import AVAILABLE_NOW
 from lodestrata.streaming.served import ServedState
@@ -23,7 +24,7 @@ def run(spark: SparkSession, source: str, target: str, *,
         database: str | None = None) -> Layers:
     """``source`` holds the folders orders and status; ``now`` is the clock of the gold tables."""
     layers = Layers(spark, target, trigger, max_bytes)
-    orders = f"{source}/orders/*.json"
+    orders = f"{source}/orders/{JSON_FILES}"
     schema = resolve_schema(spark, orders, SchemaStore(spark, layers.path("schemas/orders")),
                             "add", hints=ORDER_HINTS)
     layers.append_lines("bronze_orders", orders, schema)

@@ -13,6 +13,8 @@ from lodestrata.sources.schemas import Schema, with_hints
 
 # Fixed value: text form of order times.
 ORDER_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+# Names of JSON files, plain or compressed in a way that Spark reads by the name.
+JSON_FILES = "*.json{,.gz,.bz2,.deflate,.snappy,.lz4,.zst}"
 
 Options = Mapping[str, str | int | bool]
 

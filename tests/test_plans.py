@@ -1,5 +1,6 @@
 """The five jobs on small files, and the shape of physical plans."""
 
+import gzip
 import json
 from datetime import date, datetime
 
@@ -71,6 +72,19 @@ def test_realtime_job(spark, rows, tmp_path):
     assert layers.read("gold_platform_health").first().order_status_rows == 4
 
 
+def test_realtime_job_reads_compressed_and_plain_files(spark, rows, tmp_path):
+    put(tmp_path / "in/status", "1.json", status(1, "a", "2024-01-01T10:50:00", "In Transit"))
+    put(tmp_path / "in/orders", "other.csv", "order_id,total_amount", "y,1")
+    (tmp_path / "in/orders/1.json.gz").write_bytes(gzip.compress(json.dumps(order("a", "2024-01-01T10:00:00")).encode()))
+    layers = realtime.run(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    assert rows(layers.read("bronze_orders"), "order_id") == [("a",)]
+    put(tmp_path / "in/orders", "2.json", order("b", "2024-01-01T10:01:00"))
+    (tmp_path / "in/orders/3.json.gz").write_bytes(gzip.compress(json.dumps(order("c", "2024-01-01T10:02:00")).encode()))
+    realtime.run(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    assert rows(layers.read("bronze_orders"), "order_id") == [("a",), ("b",), ("c",)]
+    assert layers.quarantined("bronze_orders").isEmpty()
+
+
 def test_restaurants_job(spark, rows, tmp_path):
     put(tmp_path / "in/restaurants", "1.json",
         {"restaurant_id": 1, "name": " One ", "cnpj": "ab1", "cuisine_type": "x", "city": "c",
