@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from lodestrata.llm import components, cover_tree, exact_dedup, ngram_join, shingles, substring_dedup, tables
@@ -272,6 +273,51 @@ def test_vector_edges_and_blocks(spark, monkeypatch):
     assert cover_tree.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_are_shuffled_once_and_meet_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(cover_tree, "BLOCK", 16)
+    monkeypatch.setattr(cover_tree, "BROADCAST", 40 * 6 * 8, raising=False)
+    plans, write = [], DataFrameWriter.parquet
+
+    def spy(writer, *args, **options):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return write(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    rng = np.random.default_rng(5)
+    loose = np.concatenate([rng.normal(0, 1, (120, 6)), rng.normal(0, 1, 6) + rng.normal(0, 0.35, (60, 6))])
+    vectors = np.concatenate([loose, np.repeat(loose[:1], 40, 0)]).astype(np.float32).tolist()
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    found = {r[0]: (r[1], r[2]) for r in cover_tree.near_vectors(df).collect()}
+    assert [found[k] for k in range(len(vectors))] == vectors_by_hand(vectors)
+    # Not a copy of it for each block that its own is compared with.
+    assert sum("FlatMapGroupsInArrow" in p for p in plans) == 1 and not any("Generate" in p for p in plans)
+    assert sum("MapInArrow" in p and "NestedLoopJoin" in p for p in plans) > 2
+
+
+@pytest.mark.parametrize(("width", "groups", "spread"), [(64, 20, 0.3), (64, 3, 0.1), (4, 5, 0.5), (200, 30, 0.05), (1, 2, 0.1)])
+def test_blocks_met_in_a_task_equal_all_pairs(width, groups, spread):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(groups, width))
+    blocks = [cover_tree.unit(centres[rng.integers(0, groups, 300)] + spread * rng.normal(size=(300, width))) for _ in range(2)]
+    blocks.append(blocks[0][::2])
+    rows = np.split(np.arange(750), [300, 600])
+    trees, met, links, edges = [cover_tree.Tree(x, cover_tree.cover(x)) for x in blocks], cover_tree.Met(0.95), np.zeros(750, int), []
+    at, out = [met.sent(r) for r in rows], []
+    for i in range(3):
+        met.pass_by(rows[i])
+        for j in range(i, 3):
+            met.meet(trees[i], trees[j], at[j], i == j)
+        out.append(met.went())
+    for batch in [*out, met.stayed()]:
+        row, n, other = (c.to_pylist() for c in batch.columns)
+        np.add.at(links, row, n)
+        edges += [(a, b) for a, b in zip(row, other) if a != b]
+    x = np.concatenate(blocks)
+    near = (x @ x.T >= 0.95) & ~np.eye(750, dtype=bool)
+    assert links.tolist() == near.sum(1).tolist()
+    assert groups_of(edges, range(750)) == groups_of(zip(*(v.tolist() for v in np.nonzero(near))), range(750))
+
+
 def test_components_equal_union_find(spark):
     rng = random.Random(4)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(400, 460)]
